@@ -19,7 +19,7 @@ from echowire.operators import features, implied, ratings
 from echowire.operators.figures import one_row
 from echowire.operators.similarity import similarity_progress, similarity_report
 from echowire.operators.skew import attach
-from echowire.plans import reports
+from echowire.plans import passes, reports
 from echowire.session import scratch_path
 from echowire.sources import id_files, tables
 from echowire.sources.intake_log import LOG, load_rows, roster
@@ -113,7 +113,7 @@ def _source_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _copy_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return _with_first(features.content_features(_approved(spark, sf)), "key")
+    return _with_first(_features(spark, sf, "contentHash"), "key")
 
 
 def _loaded(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,28 +123,38 @@ def _loaded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _features(spark: SparkSession, sf: str, metric: str) -> DataFrame:
+    """The feature table of a metric, written once because several joins read it."""
     if metric == "urlCheck":
-        return features.url_features(_articles(spark, sf))
+        return passes.stored(features.url_features(_articles(spark, sf)), "url-features")
     if metric == "contentHash":
-        return features.content_features(_approved(spark, sf))
-    return features.vector_features(_vectors(spark, sf))
+        return passes.stored(features.content_features(_approved(spark, sf)), "content-features")
+    return passes.stored(features.vector_features(_vectors(spark, sf)), "vector-features")
 
 
 def _stored(spark: SparkSession, sf: str) -> DataFrame:
-    """The same as a snapshot, which is what a pass reads."""
-    return tables.write_snapshot(_loaded(spark, sf), scratch_path(spark, "ratings"))
+    """The same ratings as a snapshot, which is what a pass reads."""
+    return passes.stored(_loaded(spark, sf), "ratings")
+
+
+def _pass(spark: SparkSession, sf: str, rows: DataFrame, metric: str, **how) -> DataFrame:
+    """The next snapshot after a pass over one metric."""
+    out = scratch_path(spark, "ratings")
+    if metric == "urlCheck":
+        return passes.url_pass(rows, _articles(spark, sf), out, RUN_TS, **how)
+    if metric == "contentHash":
+        return passes.content_pass(rows, _approved(spark, sf), out, RUN_TS, **how)
+    return passes.embedding_pass(rows, _vectors(spark, sf), out, RUN_TS, **how)
 
 
 def _scored(spark: SparkSession, sf: str, metric: str) -> DataFrame:
-    return ratings.score_pending(_stored(spark, sf), metric, _features(spark, sf, metric), RUN_TS)
+    return _pass(spark, sf, _stored(spark, sf), metric)
 
 
 def _all_scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Ratings after all three passes, each reading the snapshot the one before has written."""
+    """Ratings after all three passes."""
     snapshot = _stored(spark, sf)
     for metric in tables.METRICS:
-        scored = ratings.score_pending(snapshot, metric, _features(spark, sf, metric), RUN_TS)
-        snapshot = tables.write_snapshot(ratings.rating_rows(scored), scratch_path(spark, "ratings"))
+        snapshot = ratings.rating_rows(_pass(spark, sf, snapshot, metric))
     return snapshot
 
 
@@ -178,12 +188,8 @@ def _sample(spark: SparkSession, sf: str) -> DataFrame:
 
 def _recomputed(spark: SparkSession, sf: str) -> DataFrame:
     """All scores after a first pass over some pairs and a recomputing pass over all."""
-    made = _features(spark, sf, "contentHash")
-    some = ratings.rating_rows(
-        ratings.score_pending(_stored(spark, sf), "contentHash", made, RUN_TS, limit=100)
-    )
-    stored = tables.write_snapshot(some, scratch_path(spark, "ratings"))
-    again = ratings.score_pending(stored, "contentHash", made, RUN_TS, recompute=True)
+    some = _pass(spark, sf, _stored(spark, sf), "contentHash", limit=100)
+    again = _pass(spark, sf, ratings.rating_rows(some), "contentHash", recompute=True)
     return _cells(again, "contentHash")
 
 

@@ -65,8 +65,3 @@ def encode_articles(
 def vector_features(vectors: DataFrame) -> DataFrame:
     """articleId, embedding, norm from a table with one vector per article."""
     return vectors.select("articleId", "embedding", vector_norm("embedding").alias("norm"))
-
-
-def missing_features(ids: DataFrame, features: DataFrame) -> DataFrame:
-    """Ids not in a feature table yet: all that a repeated pass has to compute."""
-    return ids.join(features.select("articleId"), "articleId", "left_anti")
