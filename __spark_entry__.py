@@ -132,8 +132,10 @@ def _features(spark: SparkSession, sf: str, metric: str) -> DataFrame:
 
 
 def _stored(spark: SparkSession, sf: str) -> DataFrame:
-    """The same ratings as a snapshot, which is what a pass reads."""
-    return passes.stored(_loaded(spark, sf), "ratings")
+    """The same ratings, loaded at once, as a snapshot, which is what a pass reads."""
+    pairs = _source_pairs(spark, sf).unionByName(_copy_pairs(spark, sf))
+    out = scratch_path(spark, "ratings")
+    return passes.load_pairs(tables.empty_ratings(spark), pairs, out, RUN_TS)
 
 
 def _pass(spark: SparkSession, sf: str, rows: DataFrame, metric: str, **how) -> DataFrame:
@@ -174,9 +176,19 @@ def _whole_numbers(df: DataFrame) -> DataFrame:
     ))
 
 
-def _letter_counts(texts: list[str]) -> np.ndarray:
-    """A stand-in for a text encoder: how often each of the letters a to z occurs."""
-    return np.array([[text.count(chr(97 + i)) for i in range(26)] for text in texts], dtype=np.float32)
+def _letter_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors from a stand-in for a text encoder: how often each of the letters a to z occurs."""
+
+    def load_encoder():
+        def encode(texts: list[str]) -> np.ndarray:
+            return np.array([[t.count(chr(97 + i)) for i in range(26)] for t in texts], dtype=np.float32)
+
+        return encode
+
+    vectors = features.encode_articles(_approved(spark, sf), load_encoder, 26)
+    return vectors.select(
+        "articleId", *(F.col("embedding")[i].cast("bigint").alias(chr(97 + i)) for i in range(26))
+    )
 
 
 # --------------------------------------------------------------------------- queries
@@ -272,9 +284,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             implied.content_progress(_roster(s, d), _features(s, d, "contentHash"))),
         "embedding_text": lambda s, d: features.article_texts(_turns(s, d).unionByName(
             _approved(s, d).withColumn("articleId", F.col("articleId") + 1_000_000_000))),
-        "embedding_from_text": lambda s, d: features.encode_articles(
-            _approved(s, d), lambda: _letter_counts, 26).select(
-                "articleId", *(F.col("embedding")[i].cast("bigint").alias(chr(97 + i)) for i in range(26))),
+        "embedding_from_text": _letter_vectors,
         "embedding_pair_cosine": lambda s, d: _cells(_scored(s, d, "embeddingSearch"), "embeddingSearch"),
         "embedding_high_similarity": lambda s, d: _cells(ratings.high_similarity(
             _scored(s, d, "embeddingSearch")), "embeddingSearch"),

@@ -9,10 +9,12 @@ article id, so neither copies of a vector nor a crowded region of space make one
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,9 @@ from echowire.operators.figures import embedding_percentages, one_row
 from echowire.operators.implied import members_of, pair_count
 from echowire.operators.ratings import HIGH_SIMILARITY
 
+# The task function travels with its helpers, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BLOCK_ROWS = 16384
 _CELLS = 1 << 22  # scores held at once inside a task
 

@@ -38,17 +38,18 @@ def attach(
         frequency = table.select(*keys, F.col(size).alias("__n"))
     else:
         frequency = (rows if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("__n"))
-    hot = frequency.orderBy(F.desc("__n"), *keys).limit(hot_keys).select(*keys)
-    hot_table = table.join(F.broadcast(hot), keys, "left_semi")
-    hot_table = hot_table.select(*keys, F.struct(*values).alias("__near"))
-    # Keys that are hot but missing in the table must scatter too, hence all of `hot`.
-    near = hot.withColumn("__hot", F.lit(True)).join(F.broadcast(hot_table), keys, "left")
+    # The same plan on both joins below, so that its broadcast is made once.
+    hot = frequency.dropna(subset=keys).orderBy(F.desc("__n"), *keys).limit(hot_keys)
+    hot = hot.select(*keys, F.lit(True).alias("__hot"))
+    near = table.join(F.broadcast(hot), keys).select(
+        *keys, F.when(F.col("__hot"), F.struct(*values)).alias("__near")
+    )
 
     far = table.select(*keys, F.struct(*values).alias("__far"), F.xxhash64(*keys).alias("__slot"))
     # A hot row that meets its far partner after all gets the same values from it.
     slot = F.when(F.col("__hot"), F.xxhash64(*spread)).otherwise(F.xxhash64(*keys))
-    joined = rows.join(F.broadcast(near), keys, "left").withColumn("__slot", slot)
-    joined = joined.join(far, [*keys, "__slot"], "left")
+    joined = rows.join(F.broadcast(hot), keys, "left").join(F.broadcast(near), keys, "left")
+    joined = joined.withColumn("__slot", slot).join(far, [*keys, "__slot"], "left")
     joined = joined.withColumn("__value", F.coalesce("__near", "__far"))
     if how == "inner":
         joined = joined.where(F.col("__value").isNotNull())

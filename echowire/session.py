@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,16 +26,17 @@ def build_session(app_name: str = "echowire", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="echowire-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
     Only a session that names none (a local test) falls back to a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="echowire-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
