@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,23 +51,27 @@ def _ipv6_pattern() -> str:
     return "(?:" + "|".join(forms) + ")(?:%[^%]+)?"
 
 
-_VALID_AUTHORITY = (
+_ASCII_AUTHORITY = r"^[\x00-Z\\^-\x7f]+\z"  # without brackets
+_PLAIN_AUTHORITY = rf"^[^\[\]{AMBIGUOUS_HOST_CHARS}]+\z"
+_BRACKETED_AUTHORITY = (
     rf"(?s)^(?!.*[{AMBIGUOUS_HOST_CHARS}])"
-    rf"(?:[^\[\]]+|(?:.*@)?\[(?:v[0-9a-f]+\.[^\]]+|{_ipv6_pattern()})\](?::[^@]*)?)\z"
+    rf"(?:.*@)?\[(?:v[0-9a-f]+\.[^\]]+|{_ipv6_pattern()})\](?::[^@]*)?\z"
 )
-
-# Groups: authority, path, `;params` of the last path segment, query.
-_PARTS = r"(?s)^https?://([^/?#]*)((?:/(?:[^?#]*/)?[^/;?#]*)?)((?:;[^/?#]+)?);?(?:\?([^#]*))?"
+# Groups: path, and `;params` of its last segment if not empty.
+_PATH_PARAMS = r"(?s)^(.*/[^/;]*)((?:;[^/]+)?);?\z"
+# Characters, or a second `=` in a field, that decoding or encoding would change.
+_CODED = "[^a-z0-9_.~=&-]|=[^&]*="
 
 
-def _prefix_unless_empty(text: Column, prefix: str) -> Column:
-    return F.regexp_replace(text, "(?s)^(?=.)", prefix)
+def _resource(url: Column) -> Column:
+    """What follows the scheme, up to the fragment, in lower case, without tabs and line ends."""
+    bare = F.regexp_replace(strip(url), "^https?://", "")
+    return F.substring_index(F.translate(F.lower(bare), "\t\r\n", ""), "#", 1)
 
 
-def _absolute(url: Column) -> Column:
-    """Trimmed, given a scheme when it has none, lower-cased, without tabs and line ends."""
-    text = F.regexp_replace(strip(url), "(?s)^(?!https?://)(?=.)", "https://")
-    return F.translate(F.lower(text), "\t\r\n", "")
+def _valid(authority: Column) -> Column:
+    forms = (_ASCII_AUTHORITY, _PLAIN_AUTHORITY, _BRACKETED_AUTHORITY)  # most frequent first
+    return reduce(Column.__or__, (authority.rlike(form) for form in forms))
 
 
 def _host(authority: Column) -> Column:
@@ -73,14 +80,17 @@ def _host(authority: Column) -> Column:
     return F.regexp_replace(bare, _PREFIX, "")
 
 
-def _trimmed_path(path: Column) -> Column:
+def _trimmed(path: Column) -> Column:
     """Path without trailing slashes, at least `/`; a path given is known to start with one."""
     bare = F.concat(F.lit("/"), F.rtrim(F.substr(path, F.lit(2)), F.lit("/")))
     return F.replace(bare, F.lit("%20"), F.lit(" "))
 
 
-def _decode(text: Column) -> Column:
-    return F.try_url_decode(F.regexp_replace(text, _STRAY_PERCENT, "%25"))
+def _clean_path(path: Column) -> Column:
+    """Trimmed path with the `;params` of its last segment put back behind it."""
+    params = F.regexp_extract(path, _PATH_PARAMS, 2)
+    split = F.concat(_trimmed(F.regexp_extract(path, _PATH_PARAMS, 1)), params)
+    return F.when(F.instr(path, ";") == 0, _trimmed(path)).otherwise(split)
 
 
 def _encode(text: Column) -> Column:
@@ -88,57 +98,66 @@ def _encode(text: Column) -> Column:
     return F.replace(encoded, F.lit("%7E"), F.lit("~"))
 
 
-def _clean_query(text: Column) -> Column:
-    """Query decoded, rid of blank and tracking fields, ordered by key, encoded again."""
-
-    def value_of(field: Column) -> Column:
-        return after(field, F.substring_index(field, "=", 1))
+def _ordered_fields(text: Column, decode: Callable, encode: Callable) -> Column:
+    """Fields of a query without blank values and tracking keys, by key, then as given."""
 
     def parse(field: Column, position: Column) -> Column:
+        name = F.substring_index(field, "=", 1)
         return F.struct(
-            _decode(F.substring_index(field, "=", 1)).alias("key"),
-            position.alias("position"),
-            _decode(value_of(field)).alias("value"),
+            decode(name).alias("key"), position.alias("position"), decode(after(field, name)).alias("value")
         )
 
-    fields = F.transform(F.filter(F.split(text, "&"), lambda f: value_of(f) != ""), parse)
-    kept = F.filter(fields, lambda f: ~F.lower(f["key"]).isin(*TRACKING_KEYS))
+    fields = F.filter(
+        F.transform(F.split(text, "&"), parse),
+        lambda f: (f["value"] != "") & ~F.lower(f["key"]).isin(*TRACKING_KEYS),
+    )
     parts = F.transform(
-        F.sort_array(kept), lambda f: F.concat(_encode(f["key"]), F.lit("="), _encode(f["value"]))
+        F.sort_array(fields), lambda f: F.concat(encode(f["key"]), F.lit("="), encode(f["value"]))
+    )
+    return F.array_join(parts, "&")
+
+
+def _clean_query(text: Column) -> Column:
+    """Query decoded, rid of blank and tracking fields, ordered by key, encoded again.
+
+    Most queries hold nothing that decoding or encoding would change; both are left out there.
+    """
+    escaped = F.regexp_replace(text, _STRAY_PERCENT, "%25")
+    return (
+        F.when(text == "", F.lit(""))
+        .when(text.rlike(_CODED), _ordered_fields(escaped, F.try_url_decode, _encode))
+        .otherwise(_ordered_fields(text, lambda part: part, lambda part: part))
     )
-    return F.when(text == "", F.lit("")).otherwise(F.array_join(parts, "&"))
 
 
 def with_canonical_url(df: DataFrame, url: str = "url", out: str = "canonicalUrl") -> DataFrame:
     """`df` plus the canonical form of its column `url`.
 
     NULL where the URL is blank or has no usable authority. The parts are columns of their
-    own, so each is computed once per row, and each is read once or twice further up, so the
+    own, so each is computed once per row, and each is read few times further up, so the
     expression stays small even where the optimizer moves a filter on the result below it.
     """
 
-    def part(name: str) -> str:
+    def named(name: str) -> str:
         return f"__{out}_{name}"
 
-    def split_off(group: int) -> Column:
-        return F.regexp_extract(F.col(part("absolute")), _PARTS, group)
-
-    authority, path, params, query = (
-        F.col(part(name)) for name in ("authority", "path", "params", "query")
-    )
+    parts = ("resource", "target", "authority", "path", "rawquery", "query")
+    resource, target, authority, path, rawquery, query = (F.col(named(p)) for p in parts)
     whole = F.concat(
-        F.lit("https://"), _host(authority), _trimmed_path(path), params,
-        _prefix_unless_empty(query, "?"),
+        F.lit("https://"), _host(authority), _clean_path(path),
+        F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)),
     )
     return (
-        df.withColumn(part("absolute"), _absolute(F.col(url)))
+        df.withColumn(named("resource"), _resource(F.col(url)))
+        .withColumn(named("target"), F.substring_index(resource, "?", 1))
         .withColumns({
-            part(name): split_off(group)
-            for group, name in enumerate(("authority", "path", "params", "rawquery"), start=1)
+            named("authority"): F.substring_index(target, "/", 1),
+            named("rawquery"): after(resource, target),
         })
-        .withColumn(part("query"), _clean_query(F.col(part("rawquery"))))
-        .withColumn(out, F.when(authority.rlike(_VALID_AUTHORITY), whole))
-        .drop(*(part(n) for n in ("absolute", "authority", "path", "params", "rawquery", "query")))
+        .withColumn(named("path"), F.substr(target, F.length(authority) + 1))
+        .withColumn(named("query"), _clean_query(rawquery))
+        .withColumn(out, F.when(_valid(authority), whole))
+        .drop(*map(named, parts))
     )
 
 
