@@ -2,37 +2,67 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
 
-def _dot(left: Column, right: Column) -> Column:
-    products = F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
+# Task functions travel with their helpers, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def vector_norm(vector: Column | str) -> Column:
-    """Euclidean length; computed once per article, not once per pair."""
-    vector = F.col(vector) if isinstance(vector, str) else vector
-    return F.sqrt(_dot(vector, vector))
+def lengths_of(vectors: pa.Array) -> np.ndarray:
+    """Length of each vector, -1 for NULL."""
+    return pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
 
 
-def cosine_score(
-    vector_1: Column, norm_1: Column, vector_2: Column, norm_2: Column
-) -> Column:
-    """Cosine, not below 0; 0.0 for a zero vector or NaN; NULL where it cannot be computed."""
-    cosine = _dot(vector_1, vector_2) / F.nullif(norm_1 * norm_2, F.lit(0.0))
-    usable = F.size(vector_1) == F.size(vector_2)
-    score = F.when((norm_1 == 0.0) | (norm_2 == 0.0), 0.0).otherwise(
-        F.greatest(F.lit(0.0), F.nanvl(cosine, F.lit(0.0)))
-    )
-    return F.when(usable & norm_1.isNotNull() & norm_2.isNotNull(), score)
+def matrix_of(vectors: pa.Array, rows: np.ndarray, dimension: int) -> tuple[np.ndarray, np.ndarray]:
+    """The given rows, all of one length, as doubles, and which of them have no NULL inside."""
+    flat = vectors.take(pa.array(rows)).flatten()
+    shape = (len(rows), dimension)
+    whole = np.ones(len(rows), dtype=bool)
+    if flat.null_count:
+        whole = ~pc.is_null(flat).to_numpy(zero_copy_only=False).reshape(shape).any(axis=1)
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(shape), whole
+
+
+def _cosines(left: pa.Array, right: pa.Array) -> pa.Array:
+    lengths = lengths_of(left)
+    comparable = (lengths == lengths_of(right)) & (lengths >= 0)
+    scores, usable = np.zeros(len(left)), np.zeros(len(left), dtype=bool)
+    for dimension in np.unique(lengths[comparable]).tolist():
+        rows = np.flatnonzero(comparable & (lengths == dimension))
+        (a, whole_a), (b, whole_b) = (matrix_of(v, rows, dimension) for v in (left, right))
+        with np.errstate(all="ignore"):
+            norms = np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b))
+            cosine = np.einsum("ij,ij->i", a, b) / np.where(norms == 0, 1.0, norms)
+        scores[rows] = np.where(cosine > 0, cosine, 0.0)
+        usable[rows] = whole_a & whole_b
+    return pa.array(scores, mask=~usable)
+
+
+def cosine_score(vector_1: Column, vector_2: Column) -> Column:
+    """Cosine, not below 0; 0.0 for a zero vector or NaN; NULL where it cannot be computed,
+    which is for a NULL vector, a NULL inside one, or different dimensions.
+
+    An Arrow batch is one pass of array arithmetic, several times faster than array functions
+    that evaluate a lambda per element.
+    """
+
+    @F.arrow_udf("double")
+    def cosines(left: pa.Array, right: pa.Array) -> pa.Array:
+        return _cosines(left, right)
+
+    return cosines(vector_1, vector_2)
 
 
 def encoded(text: Column, load_encoder: Callable[[], Encoder], dimension: int) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from echowire.functions.texts import combine_text, content_hash
 from echowire.functions.urls import with_canonical_url
-from echowire.functions.vectors import Encoder, encoded, vector_norm
+from echowire.functions.vectors import Encoder, encoded
 
 
 def url_features(articles: DataFrame) -> DataFrame:
@@ -63,5 +63,5 @@ def encode_articles(
 
 
 def vector_features(vectors: DataFrame) -> DataFrame:
-    """articleId, embedding, norm from a table with one vector per article."""
-    return vectors.select("articleId", "embedding", vector_norm("embedding").alias("norm"))
+    """articleId, embedding from a table with one vector per article."""
+    return vectors.select("articleId", "embedding")

@@ -89,9 +89,7 @@ def pending_with(
 
 def _score(metric: str) -> Column:
     if metric == "embeddingSearch":
-        return cosine_score(
-            F.col("embeddingNew"), F.col("normNew"), F.col("embeddingApproved"), F.col("normApproved")
-        )
+        return cosine_score(F.col("embeddingNew"), F.col("embeddingApproved"))
     rule = url_score if metric == "urlCheck" else content_score
     return rule(F.col("keyNew"), F.col("keyApproved"))
 

@@ -13,12 +13,12 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from echowire.functions.numbers import pair_sum
+from echowire.functions.vectors import lengths_of, matrix_of
 from echowire.operators.figures import embedding_percentages, one_row
 from echowire.operators.implied import members_of, pair_count
 from echowire.operators.ratings import HIGH_SIMILARITY
@@ -42,15 +42,12 @@ def _ints(table: pa.Table, name: str) -> np.ndarray:
 def _unit_vectors(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Row numbers and unit vectors by dimension; rows without a usable vector are left out."""
     vectors = table.column("vector").combine_chunks()
-    lengths = pc.fill_null(pc.list_value_length(vectors), -1).to_numpy(zero_copy_only=False)
+    lengths = lengths_of(vectors)
     groups = {}
     for dimension in np.unique(lengths[lengths >= 0]).tolist():
         rows = np.flatnonzero(lengths == dimension)
-        flat = vectors.take(pa.array(rows)).flatten()
-        matrix = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dimension)
-        if flat.null_count:
-            gaps = pc.is_null(flat).to_numpy(zero_copy_only=False).reshape(len(rows), dimension).any(axis=1)
-            rows, matrix = rows[~gaps], matrix[~gaps]
+        matrix, whole = matrix_of(vectors, rows, dimension)
+        rows, matrix = rows[whole], matrix[whole]
         with np.errstate(invalid="ignore", over="ignore"):
             norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
             matrix = matrix / np.where(norms == 0, 1.0, norms)[:, None]

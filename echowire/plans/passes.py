@@ -62,9 +62,8 @@ def content_pass(
 def embedding_pass(
     ratings: DataFrame, vectors: DataFrame, out: str, run_ts: datetime, **how
 ) -> DataFrame:
-    """Vectors come as a table; `text_vectors` makes one from texts."""
-    features = stored(made.vector_features(vectors), "vector-features")
-    return metric_pass(ratings, "embeddingSearch", features, out, run_ts, **how)
+    """Vectors come as a stored table; `text_vectors` makes one from texts."""
+    return metric_pass(ratings, "embeddingSearch", made.vector_features(vectors), out, run_ts, **how)
 
 
 def text_vectors(
