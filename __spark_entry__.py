@@ -131,33 +131,35 @@ def _features(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     return features.vector_features(_vectors(spark, sf))
 
 
-def _stored(spark: SparkSession, sf: str) -> DataFrame:
+def _stored(spark: SparkSession, sf: str, keys: DataFrame | None = None) -> DataFrame:
     """The same ratings, loaded at once, as a snapshot, which is what a pass reads."""
-    pairs = _source_pairs(spark, sf).unionByName(_copy_pairs(spark, sf))
-    out = scratch_path(spark, "ratings")
-    return passes.load_pairs(tables.empty_ratings(spark), pairs, out, RUN_TS)
+    copies = _copy_pairs(spark, sf) if keys is None else _with_first(keys, "key")
+    pairs = _source_pairs(spark, sf).unionByName(copies)
+    return passes.load_pairs(
+        tables.empty_ratings(spark), pairs, scratch_path(spark, "ratings"), RUN_TS
+    )
 
 
-def _pass(spark: SparkSession, sf: str, rows: DataFrame, metric: str, **how) -> DataFrame:
-    """The next snapshot after a pass over one metric."""
-    out = scratch_path(spark, "ratings")
-    if metric == "urlCheck":
-        return passes.url_pass(rows, _articles(spark, sf), out, RUN_TS, **how)
-    if metric == "contentHash":
-        return passes.content_pass(rows, _approved(spark, sf), out, RUN_TS, **how)
-    return passes.embedding_pass(rows, _vectors(spark, sf), out, RUN_TS, **how)
+def _passed(spark: SparkSession, sf: str, *metrics: str, limit: int | None = None) -> DataFrame:
+    """The snapshot after a pass over each of the metrics."""
+    keys = _features(spark, sf, "contentHash")
+    snapshot = _stored(spark, sf, keys)
+    for metric in metrics:
+        made = keys if metric == "contentHash" else _features(spark, sf, metric)
+        out = scratch_path(spark, "ratings")
+        snapshot = passes.metric_pass(
+            ratings.rating_rows(snapshot), metric, made, out, RUN_TS, limit=limit
+        )
+    return snapshot
 
 
 def _scored(spark: SparkSession, sf: str, metric: str) -> DataFrame:
-    return _pass(spark, sf, _stored(spark, sf), metric)
+    return _passed(spark, sf, metric)
 
 
 def _all_scored(spark: SparkSession, sf: str) -> DataFrame:
     """Ratings after all three passes."""
-    snapshot = _stored(spark, sf)
-    for metric in tables.METRICS:
-        snapshot = ratings.rating_rows(_pass(spark, sf, snapshot, metric))
-    return snapshot
+    return ratings.rating_rows(_passed(spark, sf, *tables.METRICS))
 
 
 def _cells(rows: DataFrame, *metrics: str) -> DataFrame:
@@ -200,8 +202,10 @@ def _sample(spark: SparkSession, sf: str) -> DataFrame:
 
 def _recomputed(spark: SparkSession, sf: str) -> DataFrame:
     """All scores after a first pass over some pairs and a recomputing pass over all."""
-    some = _pass(spark, sf, _stored(spark, sf), "contentHash", limit=100)
-    again = _pass(spark, sf, ratings.rating_rows(some), "contentHash", recompute=True)
+    some = ratings.rating_rows(_passed(spark, sf, "contentHash", limit=100))
+    again = passes.content_pass(
+        some, _approved(spark, sf), scratch_path(spark, "ratings"), RUN_TS, recompute=True
+    )
     return _cells(again, "contentHash")
 
 
