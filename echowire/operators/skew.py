@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
@@ -30,7 +31,8 @@ def attach(
 
     Frequencies come from the column `size` of the table where it has one, else from counting
     the keys of `counted` (by default `rows`). The table must have one row per key, of bounded
-    width (hashes, vectors, counts; no text), and neither side may have NULL keys.
+    width (hashes, vectors, counts; no text). Rows without a key match nothing and are
+    scattered as well.
     """
     keys = list(keys)
     values = [c for c in table.columns if c not in keys]
@@ -47,7 +49,8 @@ def attach(
 
     far = table.select(*keys, F.struct(*values).alias("__far"), F.xxhash64(*keys).alias("__slot"))
     # A hot row that meets its far partner after all gets the same values from it.
-    slot = F.when(F.col("__hot"), F.xxhash64(*spread)).otherwise(F.xxhash64(*keys))
+    no_key = reduce(Column.__or__, (F.col(k).isNull() for k in keys))
+    slot = F.when(F.col("__hot") | no_key, F.xxhash64(*spread)).otherwise(F.xxhash64(*keys))
     joined = rows.join(F.broadcast(hot), keys, "left").join(F.broadcast(near), keys, "left")
     joined = joined.withColumn("__slot", slot).join(far, [*keys, "__slot"], "left")
     joined = joined.withColumn("__value", F.coalesce("__near", "__far"))

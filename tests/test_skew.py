@@ -4,8 +4,11 @@ from echowire.operators.skew import attach
 
 
 def _rows(spark):
-    """A third of the rows share key 0, another tenth key 1 that the table does not have."""
-    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, 1).otherwise(F.col("id"))
+    """A third of the rows share key 0, others key 1, which the table lacks, or have no key."""
+    key = (
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 10 == 1, 1)
+        .when(F.col("id") % 5 == 2, None).otherwise(F.col("id"))
+    )
     return spark.range(3000).select("id", key.cast("long").alias("k"))
 
 
