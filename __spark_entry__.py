@@ -24,6 +24,14 @@ from echowire.session import scratch_path
 from echowire.sources import id_files, tables
 from echowire.sources.intake_log import LOG, load_rows, roster
 
+try:  # the corpus operators are optional: without them the other queries work alike
+    import corpus_pipeline
+    from echowire.llm import registry as corpus
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "echowire.llm"):
+        raise
+    corpus_pipeline = corpus = None
+
 RUN_TS = datetime(2024, 1, 1, tzinfo=timezone.utc)
 THRESHOLD = 0.3  # the given vectors are far apart; the default 0.8 would select copies only
 
@@ -236,6 +244,13 @@ def _implied_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    made = _article_queries()
+    if corpus:
+        made |= corpus.queries() | {"pipeline": corpus_pipeline.run}
+    return made
+
+
+def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ids_valid": lambda s, d: id_files.known_ids(
             id_files.distinct_ids(_id_lines(s, d)), _articles(s, d)),
@@ -451,6 +466,15 @@ def _duplicates(members: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    made = _article_sql()
+    if corpus:
+        made |= corpus.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            made["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return made
+
+
+def _article_sql() -> dict[str, str]:
     letters = ", ".join(
         f"(len(t) - len(replace(t, '{chr(97 + i)}', '')))::BIGINT AS {chr(97 + i)}" for i in range(26)
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "echowire", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,11 +35,49 @@ def _local_folder() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a session that names none (a local test) falls back to a temporary folder.
+    Only a session on a `local` master may leave it unset: its driver and tasks are one process
+    and share a temporary folder. On any other master that raises.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_folder()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master.startswith("local") and not master.startswith("local-cluster"):
+        return _local_folder()
+    raise ValueError(f"spark.checkpoint.dir must name a folder shared by all executors (master {master})")
+
+
+_written: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; it is removed when the driver's process ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if not _written:
+        atexit.register(_remove_all)
+    _written.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete what was written below `path`, a scratch path that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    if path in _written:
+        _written.remove(path)
+
+
+def _remove_all() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is not None and spark.sparkContext._jsc is not None:
+        for path in list(_written):
+            remove_scratch(spark, path)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once below the shared folder and read back: it cuts the lineage and survives lost executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
