@@ -10,11 +10,13 @@ from echowire.llm.bpe_tree import op9_bpe_tree
 from echowire.llm.hilbert_shards import op10_hilbert_shards
 from echowire.llm.license_scan import op2_license_scan
 from echowire.llm.line_dedup import OP5_SQL, op5_line_dedup
+from echowire.llm.minhash_dedup import op3_hyperminhash_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_license_scan": op2_license_scan,
+        "op3_hyperminhash_dedup": op3_hyperminhash_dedup,
         "op5_line_dedup": op5_line_dedup,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_hilbert_shards": op10_hilbert_shards,
