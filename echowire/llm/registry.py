@@ -11,13 +11,17 @@ from echowire.llm.hilbert_shards import op10_hilbert_shards
 from echowire.llm.license_scan import op2_license_scan
 from echowire.llm.line_dedup import OP5_SQL, op5_line_dedup
 from echowire.llm.minhash_dedup import op3_hyperminhash_dedup
+from echowire.llm.pstable_dedup import op1_pstable_dedup
+from echowire.llm.rule_quality import op8_rule_quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_pstable_dedup": op1_pstable_dedup,
         "op2_license_scan": op2_license_scan,
         "op3_hyperminhash_dedup": op3_hyperminhash_dedup,
         "op5_line_dedup": op5_line_dedup,
+        "op8_rule_quality": op8_rule_quality,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_hilbert_shards": op10_hilbert_shards,
     }
