@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from echowire.llm.bpe_tree import op9_bpe_tree
 from echowire.llm.hilbert_shards import op10_hilbert_shards
+from echowire.llm.kernel_language import op7_kernel_language
 from echowire.llm.license_scan import op2_license_scan
 from echowire.llm.line_dedup import OP5_SQL, op5_line_dedup
 from echowire.llm.minhash_dedup import op3_hyperminhash_dedup
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_license_scan": op2_license_scan,
         "op3_hyperminhash_dedup": op3_hyperminhash_dedup,
         "op5_line_dedup": op5_line_dedup,
+        "op7_kernel_language": op7_kernel_language,
         "op8_rule_quality": op8_rule_quality,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_hilbert_shards": op10_hilbert_shards,
