@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from echowire.llm.bpe_tree import op9_bpe_tree
+from echowire.llm.decontaminate import op6_pigeonhole_decontamination
 from echowire.llm.hilbert_shards import op10_hilbert_shards
 from echowire.llm.kernel_language import op7_kernel_language
 from echowire.llm.license_scan import op2_license_scan
 from echowire.llm.line_dedup import OP5_SQL, op5_line_dedup
 from echowire.llm.minhash_dedup import op3_hyperminhash_dedup
+from echowire.llm.pii_sanitise import op4_pii_sanitise
 from echowire.llm.pstable_dedup import op1_pstable_dedup
 from echowire.llm.rule_quality import op8_rule_quality
 
@@ -21,7 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_pstable_dedup": op1_pstable_dedup,
         "op2_license_scan": op2_license_scan,
         "op3_hyperminhash_dedup": op3_hyperminhash_dedup,
+        "op4_pii_sanitise": op4_pii_sanitise,
         "op5_line_dedup": op5_line_dedup,
+        "op6_pigeonhole_decontamination": op6_pigeonhole_decontamination,
         "op7_kernel_language": op7_kernel_language,
         "op8_rule_quality": op8_rule_quality,
         "op9_bpe_tree": op9_bpe_tree,
