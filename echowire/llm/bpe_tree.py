@@ -16,6 +16,7 @@ import base64
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
@@ -141,8 +142,13 @@ def decode(encoded: DataFrame, path: str, pattern: str, leaf: int = LEAF) -> Dat
     return map_rows(encoded.select("doc_id", "ids"), "doc_id long, bytes binary", make)
 
 
-def digests(docs: DataFrame, path: str, pattern: str, leaf: int = LEAF, window: int = WINDOW) -> DataFrame:
-    """Each text encoded and decoded again: n_tokens, and SHA-256 of the ids (decimal, comma-joined) and of the bytes."""
+def digests(
+    docs: DataFrame, path: str, pattern: str, leaf: int = LEAF, window: int = WINDOW, with_ids: bool = False
+) -> DataFrame:
+    """Each text encoded and decoded again: n_tokens, and SHA-256 of the ids (decimal, comma-joined) and of the bytes.
+
+    `with_ids` adds the ids.
+    """
     codec_of = _codecs(docs.sparkSession, path, pattern, leaf, window)
 
     def make():
@@ -150,17 +156,24 @@ def digests(docs: DataFrame, path: str, pattern: str, leaf: int = LEAF, window:
         names = {rank: str(rank) for rank in codec.bytes_of}
 
         def run(batch: pa.RecordBatch) -> list:
-            n, ids_sha, decoded_sha = [], [], []
+            n, ids_sha, decoded_sha, kept = [], [], [], []
             for text in strings(batch, "text"):
                 ids = codec.encode(text)
                 n.append(len(ids))
                 ids_sha.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
                 decoded_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            return [batch.column("doc_id"), n, ids_sha, decoded_sha]
+                if with_ids:
+                    kept.append(np.array(ids, dtype=np.int32))
+            lists = []
+            if with_ids:
+                ends = np.cumsum([0, *n], dtype=np.int32)
+                lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(kept)))]
+            return [batch.column("doc_id"), n, ids_sha, decoded_sha, *lists]
 
         return run
 
-    return map_rows(texts(docs), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", make)
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return map_rows(texts(docs), schema + ", ids array<int>" * with_ids, make)
 
 
 def vocabulary() -> tuple[str, str]:

@@ -143,7 +143,7 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN
     dropped = rows.join(frequent, _KEY)
     places = F.col("places")
     if keep_first:
-        owner = F.coalesce("doc_id", F.lit(np.iinfo(np.int64).min.item())) == F.col("first_doc")
+        owner = F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col("first_doc")
         places = F.when(owner, F.slice("places", 2, F.greatest(F.lit(1), F.size("places")))).otherwise(places)
     per_doc = (
         dropped.select("doc_id", "text_hash", "n_lines", places.alias("places"))

@@ -241,9 +241,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each group of near duplicates, with all its columns; rows with a null id go."""
-    kept = near_duplicates(docs, **settings).where("kept").select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(kept, docs["doc_id"] == kept["__doc"], "left_semi")
+    """One document of each group of near duplicates, with all its columns; rows with a null id stay."""
+    gone = near_duplicates(docs, **settings).where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("__doc"))
+    gone = stored(gone.distinct(), "near-copies")
+    return docs.join(gone, docs["doc_id"] == gone["__doc"], "left_anti")
 
 
 def op3_hyperminhash_dedup(spark, sf_dir: str) -> DataFrame:
