@@ -33,6 +33,7 @@ except ModuleNotFoundError as missing:
     corpus_pipeline = corpus = None
 
 RUN_TS = datetime(2024, 1, 1, tzinfo=timezone.utc)
+LATER_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
 THRESHOLD = 0.3  # the given vectors are far apart; the default 0.8 would select copies only
 
 # ---------------------------------------------------------------------------- inputs
@@ -96,7 +97,7 @@ def _log(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]
 
 def _roster(spark: SparkSession, sf: str) -> DataFrame:
     first, second, _ = _log(spark, sf)
-    return roster(first.unionByName(second))
+    return passes.stored(roster(first.unionByName(second)), "roster")
 
 
 def _everyone(ids: DataFrame) -> DataFrame:
@@ -105,13 +106,14 @@ def _everyone(ids: DataFrame) -> DataFrame:
 
 
 def _with_first(rows: DataFrame, group: str) -> DataFrame:
-    """Pairs of each article with the lowest article of its group."""
+    """Pairs of each article with the lowest other article of its group."""
     firsts = rows.groupBy(group).agg(
         F.min("articleId").alias("articleIdApproved"), F.count("*").alias("n")
     )
-    return attach(rows, firsts, [group], ["articleId"], size="n").select(
+    pairs = attach(rows, firsts, [group], ["articleId"], size="n").select(
         F.col("articleId").alias("articleIdNew"), "articleIdApproved"
     )
+    return pairs.where("articleIdNew <> articleIdApproved")
 
 
 def _source_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -124,10 +126,25 @@ def _copy_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _with_first(_features(spark, sf, "contentHash"), "key")
 
 
+def _url_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each page with the first of its canonical URL and the first of its host."""
+    urls = with_canonical_url(_articles(spark, sf)).select(
+        F.col("id").alias("articleId"), "canonicalUrl", domain_of("canonicalUrl").alias("host"))
+    return _with_first(urls, "canonicalUrl").unionByName(_with_first(urls, "host"))
+
+
+def _label_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each vector with the first of its label."""
+    return _with_first(
+        _table(spark, sf, "embeddings").select(F.col("vec_id").alias("articleId"), "label"), "label"
+    )
+
+
 def _loaded(spark: SparkSession, sf: str) -> DataFrame:
-    """Unscored ratings of each document with the first of its source and its first copy."""
+    """Unscored ratings of each article with the first of its source, copies, URL, host and label."""
     pairs = ratings.insert_or_ignore(tables.empty_ratings(spark), _source_pairs(spark, sf), RUN_TS)
-    return ratings.insert_or_ignore(pairs, _copy_pairs(spark, sf), RUN_TS)
+    more = _copy_pairs(spark, sf).unionByName(_url_pairs(spark, sf)).unionByName(_label_pairs(spark, sf))
+    return ratings.insert_or_ignore(pairs, more, RUN_TS)
 
 
 def _features(spark: SparkSession, sf: str, metric: str) -> DataFrame:
@@ -143,6 +160,7 @@ def _stored(spark: SparkSession, sf: str, keys: DataFrame | None = None) -> Data
     """The same ratings, loaded at once, as a snapshot, which is what a pass reads."""
     copies = _copy_pairs(spark, sf) if keys is None else _with_first(keys, "key")
     pairs = _source_pairs(spark, sf).unionByName(copies)
+    pairs = pairs.unionByName(_url_pairs(spark, sf)).unionByName(_label_pairs(spark, sf))
     return passes.load_pairs(
         tables.empty_ratings(spark), pairs, scratch_path(spark, "ratings"), RUN_TS
     )
@@ -161,6 +179,31 @@ def _passed(spark: SparkSession, sf: str, *metrics: str, limit: int | None = Non
     return snapshot
 
 
+def _limited(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores after a pass over at most 100 pairs."""
+    return _cells(_passed(spark, sf, "contentHash", limit=100), "contentHash")
+
+
+def _filled(spark: SparkSession, sf: str) -> DataFrame:
+    """A pass over ratings of which every other new article has a score; what it touched bears its stamp."""
+    half = F.when(F.col("articleIdNew") % 2 == 0, F.lit(0.5))
+    some = _stored(spark, sf).withColumn("contentHash", half)
+    done = passes.content_pass(some, _approved(spark, sf), scratch_path(spark, "ratings"), LATER_TS)
+    return done.select(*tables.PAIR, "contentHash", (F.col("updatedAt") == F.lit(LATER_TS)).alias("touched"))
+
+
+def _failing_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The given vectors, some of them missing and some cut short."""
+    part = F.col("articleId") % 5
+    return _vectors(spark, sf).withColumn(
+        "embedding", F.when(part == 1, F.slice("embedding", 1, 8)).when(part != 0, F.col("embedding")))
+
+
+def _failed(spark: SparkSession, sf: str) -> DataFrame:
+    return passes.embedding_pass(
+        _stored(spark, sf), _failing_vectors(spark, sf), scratch_path(spark, "ratings"), RUN_TS)
+
+
 def _scored(spark: SparkSession, sf: str, metric: str) -> DataFrame:
     return _passed(spark, sf, metric)
 
@@ -230,6 +273,12 @@ def _cleared(spark: SparkSession, sf: str) -> DataFrame:
     return one_row(*counts, left)
 
 
+def _implied_similarity(spark: SparkSession, sf: str) -> DataFrame:
+    ros = _roster(spark, sf)
+    report = similarity_progress(ros, similarity_report(ros, _vectors(spark, sf), THRESHOLD))
+    return _rounded(_whole_numbers(report), "avg_similarity_score", "overall_avg_similarity")
+
+
 def _implied_status(spark: SparkSession, sf: str) -> DataFrame:
     ros = _roster(spark, sf)
     report = similarity_report(ros, _vectors(spark, sf), THRESHOLD)
@@ -306,7 +355,10 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "embedding_from_text": _letter_vectors,
         "embedding_pair_cosine": lambda s, d: _cells(_scored(s, d, "embeddingSearch"), "embeddingSearch"),
         "embedding_high_similarity": lambda s, d: _cells(ratings.high_similarity(
-            _scored(s, d, "embeddingSearch")), "embeddingSearch"),
+            _scored(s, d, "embeddingSearch"), THRESHOLD), "embeddingSearch"),
+        "embedding_failed_scores": lambda s, d: _cells(_failed(s, d), "embeddingSearch"),
+        "embedding_failed_run_result": lambda s, d: _rounded(reports.embedding_run_result(
+            _failed(s, d), THRESHOLD), "overall_avg_similarity"),
         "embedding_run_result": lambda s, d: _rounded(reports.embedding_run_result(
             _scored(s, d, "embeddingSearch"), THRESHOLD), "overall_avg_similarity"),
         "embedding_status": lambda s, d: _rounded(reports.embedding_status(
@@ -314,13 +366,13 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "embedding_best_matches": lambda s, d: _rounded(similarity_report(
             _everyone(_vectors(s, d).select("articleId")), _vectors(s, d), THRESHOLD,
             exclude_self=True), "total", "best"),
-        "embedding_implied_progress": lambda s, d: _rounded(_whole_numbers(similarity_progress(
-            _roster(s, d), similarity_report(_roster(s, d), _vectors(s, d), THRESHOLD))),
-            "avg_similarity_score", "overall_avg_similarity"),
+        "embedding_implied_progress": _implied_similarity,
         "ratings_pending_count": lambda s, d: _scored(s, d, "embeddingSearch").agg(*(
             F.count_if(F.col(m).isNull()).alias(f"pending_{m}") for m in tables.METRICS)),
         "ratings_fill_pending": lambda s, d: _cells(_all_scored(s, d), *tables.METRICS),
         "ratings_recompute": _recomputed,
+        "ratings_limited_pass": _limited,
+        "ratings_fill_keeps_scores": _filled,
         "ratings_clear": _cleared,
         "ratings_reset": lambda s, d: one_row(
             _loaded(s, d).agg(F.count("*").alias("deleted")),
@@ -345,6 +397,7 @@ def _key_sql(headline: str, text: str) -> str:
     return f"sha256({_NORM.format(headline)} || '|||' || {_NORM.format(text)})"
 
 
+# Tracking keys that a canonical URL loses.
 _TRACKING = (
     "'utm_source','utm_medium','utm_campaign','utm_term','utm_content','gclid','fbclid','msclkid',"
     "'dclid','gclsrc','_ga','_gl','mc_eid','mc_cid','ref','referrer','source','campaign','ncid'"
@@ -386,13 +439,28 @@ _VECS = "vecs AS (SELECT vec_id AS articleId, embedding::DOUBLE[] AS v FROM embe
 
 _COSINE = "greatest(0.0, list_cosine_similarity({0}, {1}))"
 
-_PAIRS = f"""{_KEYS},
-source_pairs AS (
-    SELECT doc_id AS n, min(doc_id) OVER (PARTITION BY source) AS a FROM documents),
-copy_pairs AS (SELECT articleId AS n, min(articleId) OVER (PARTITION BY key) AS a FROM keys),
-loaded AS (SELECT * FROM source_pairs UNION SELECT * FROM copy_pairs)"""
-
-_RATED = f"""{_PAIRS}, {_URLS}, {_VECS},
+_PAIRS = f"""{_KEYS}, {_URLS},
+every_source AS (
+    SELECT doc_id AS n, min(doc_id) OVER (PARTITION BY source) AS a FROM documents WHERE source IS NOT NULL),
+source_pairs AS (SELECT * FROM every_source WHERE n <> a),
+every_copy AS (SELECT articleId AS n, min(articleId) OVER (PARTITION BY key) AS a FROM keys),
+copy_pairs AS (SELECT * FROM every_copy WHERE n <> a),
+loaded AS (
+    SELECT * FROM source_pairs UNION SELECT * FROM copy_pairs
+    UNION SELECT * FROM (SELECT id AS n, min(id) OVER (PARTITION BY canonicalUrl) AS a
+        FROM urls WHERE canonicalUrl IS NOT NULL) WHERE n <> a
+    UNION SELECT * FROM (SELECT id AS n, min(id) OVER (PARTITION BY split_part(canonicalUrl, '/', 3)) AS a
+        FROM urls WHERE canonicalUrl IS NOT NULL) WHERE n <> a
+    UNION SELECT * FROM (SELECT vec_id AS n, min(vec_id) OVER (PARTITION BY label) AS a
+        FROM embeddings WHERE label IS NOT NULL) WHERE n <> a)"""
+
+_FAILED = """bad AS (SELECT articleId, CASE articleId % 5 WHEN 0 THEN NULL WHEN 1 THEN v[1:8] ELSE v END AS v FROM vecs),
+tried AS (
+    SELECT n AS articleIdNew, a AS articleIdApproved, x.articleId IS NOT NULL AND y.articleId IS NOT NULL AS done,
+        CASE WHEN len(x.v) = len(y.v) THEN greatest(0.0, list_cosine_similarity(x.v, y.v)) END AS c
+    FROM loaded LEFT JOIN bad x ON x.articleId = n LEFT JOIN bad y ON y.articleId = a)"""
+
+_RATED = f"""{_PAIRS}, {_VECS},
 rated AS (
     SELECT n AS articleIdNew, a AS articleIdApproved,
         CASE WHEN u1.id IS NOT NULL AND u2.id IS NOT NULL
@@ -585,7 +653,16 @@ def _article_sql() -> dict[str, str]:
             round(embeddingSearch, 6) AS embeddingSearch FROM rated""",
         "embedding_high_similarity": f"""WITH {_RATED} SELECT articleIdNew, articleIdApproved,
             round(embeddingSearch, 6) AS embeddingSearch FROM rated
-            WHERE embeddingSearch > {ratings.HIGH_SIMILARITY}""",
+            WHERE embeddingSearch > {THRESHOLD}""",
+        "embedding_failed_scores": f"""WITH {_PAIRS}, {_VECS}, {_FAILED}
+            SELECT articleIdNew, articleIdApproved,
+                CASE WHEN done THEN round(coalesce(c, 0.0), 6) END AS embeddingSearch FROM tried""",
+        "embedding_failed_run_result": f"""WITH {_PAIRS}, {_VECS}, {_FAILED}, f AS (
+            SELECT count(*) FILTER (done) AS total_processed,
+                count(*) FILTER (c > {THRESHOLD}) AS total_high_similarity,
+                coalesce(round(avg(c), 6), 0.0) AS overall_avg_similarity,
+                count(*) FILTER (done AND c IS NULL) AS total_errors FROM tried)
+            SELECT *, {_floor('total_high_similarity', 'total_processed')} AS high_percentage FROM f""",
         "embedding_run_result": f"""WITH {_RATED}, f AS (
                 SELECT count(embeddingSearch) AS total_processed,
                 count(*) FILTER (embeddingSearch > {THRESHOLD}) AS total_high_similarity,
@@ -613,6 +690,14 @@ def _article_sql() -> dict[str, str]:
             contentHash, round(embeddingSearch, 6) AS embeddingSearch FROM rated""",
         "ratings_recompute":
             f"WITH {_RATED} SELECT articleIdNew, articleIdApproved, contentHash FROM rated",
+        "ratings_limited_pass": f"""WITH {_RATED}, first AS (
+                SELECT articleIdNew, articleIdApproved, contentHash FROM rated WHERE contentHash IS NOT NULL
+                ORDER BY articleIdNew, articleIdApproved LIMIT 100)
+            SELECT articleIdNew, articleIdApproved, f.contentHash
+            FROM rated LEFT JOIN first f USING (articleIdNew, articleIdApproved)""",
+        "ratings_fill_keeps_scores": f"""WITH {_RATED} SELECT articleIdNew, articleIdApproved,
+            CASE WHEN articleIdNew % 2 = 0 THEN 0.5::DOUBLE ELSE contentHash END AS contentHash,
+            articleIdNew % 2 <> 0 AND contentHash IS NOT NULL AS touched FROM rated""",
         "ratings_clear": f"""WITH {_RATED} SELECT count(*) AS cleared_urlCheck,
             count(contentHash) AS cleared_contentHash, count(embeddingSearch) AS cleared_embeddingSearch,
             0::BIGINT AS left_urlCheck, count(contentHash) AS left_contentHash,

@@ -70,21 +70,36 @@ def high_similarity(ratings: DataFrame, threshold: float = HIGH_SIMILARITY) -> D
 
 def with_article_columns(ratings: DataFrame, table: DataFrame, key: str, *columns: str) -> DataFrame:
     """Inner join with an article table on both ids; columns come back as `<name>New` and
-    `<name>Approved`. Both inputs are plain scans, so adaptive execution splits a hot id."""
+    `<name>Approved`. The table has one row per id and columns of moderate width: those of the most
+    frequent ids are broadcast, see `attach`."""
     for role in ("New", "Approved"):
         side = table.select(
             F.col(key).alias(f"articleId{role}"), *(F.col(c).alias(f"{c}{role}") for c in columns)
         )
-        ratings = ratings.join(side, f"articleId{role}")
+        ratings = attach(ratings, side, [f"articleId{role}"], spread=PAIR)
     return ratings
 
 
+def with_both(pairs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Pairs of which both ids are in `ids` (articleId); only ids are joined."""
+    marked = ids.select(F.col("articleId")).distinct()
+    for role in PAIR:
+        side = marked.select(F.col("articleId").alias(role), F.lit(True).alias("__held"))
+        pairs = attach(pairs, side, [role], spread=PAIR).drop("__held")
+    return pairs
+
+
 def pending_with(
     ratings: DataFrame, metric: str, table: DataFrame, key: str, *columns: str, limit: int | None = None
 ) -> DataFrame:
-    """Pending pairs that can be scored, with the article columns to score; at most `limit`."""
-    rows = with_article_columns(pending(ratings, metric).select(*PAIR), table, key, *columns)
-    return rows if limit is None else rows.orderBy(*PAIR).limit(limit)
+    """Pending pairs that can be scored, with the article columns to score; at most `limit`.
+
+    With a limit the pairs are chosen on ids alone and the columns joined to those that remain.
+    """
+    rows = pending(ratings, metric).select(*PAIR)
+    if limit is not None:
+        rows = with_both(rows, table.select(F.col(key).alias("articleId"))).orderBy(*PAIR).limit(limit)
+    return with_article_columns(rows, table, key, *columns)
 
 
 def _score(metric: str) -> Column:
@@ -111,7 +126,13 @@ def score_pending(
     """
     if recompute:
         ratings = clear_metric(ratings, metric, run_ts)
-    todo = unscored = pending(ratings, metric)
+    unscored = pending(ratings, metric)
+    if limit is not None:
+        ids = features.select("articleId")
+        chosen = with_both(unscored.select(*PAIR), ids).orderBy(*PAIR).limit(limit)
+        left = unscored.join(chosen, list(PAIR), "left_anti")
+        unscored = unscored.join(chosen, list(PAIR), "left_semi")
+    todo = unscored
     for role in ("New", "Approved"):
         side = features.select(
             F.col("articleId").alias(f"articleId{role}"),
@@ -123,10 +144,6 @@ def score_pending(
         )
 
     scorable = F.col("hasNew").isNotNull() & F.col("hasApproved").isNotNull()
-    if limit is not None:
-        chosen = todo.where(scorable).select(*PAIR).orderBy(*PAIR).limit(limit)
-        todo = todo.join(chosen.withColumn("chosen", F.lit(True)), list(PAIR), "left")
-        scorable = scorable & F.col("chosen").isNotNull()
     rows = [f.name for f in RATINGS.fields]
     scored = todo.withColumn("rawScore", _score(metric)).withColumns({
         "scoredNow": scorable,
@@ -134,9 +151,10 @@ def score_pending(
         metric: F.when(scorable, F.coalesce("rawScore", F.lit(0.0))),
         "updatedAt": F.when(scorable, timestamp_literal(run_ts)).otherwise(F.col("updatedAt")),
     })
-    untouched = completed(ratings, metric).withColumns(
-        {"scoredNow": F.lit(False), "failedNow": F.lit(False)}
-    )
+    untouched = completed(ratings, metric)
+    if limit is not None:
+        untouched = untouched.unionByName(left)
+    untouched = untouched.withColumns({"scoredNow": F.lit(False), "failedNow": F.lit(False)})
     columns = rows + ["scoredNow", "failedNow"]
     return untouched.select(*columns).unionByName(scored.select(*columns))
 

@@ -13,7 +13,7 @@ from echowire.operators.figures import (
     one_row,
     url_percentages,
 )
-from echowire.operators.ratings import HIGH_SIMILARITY, completed
+from echowire.operators.ratings import HIGH_SIMILARITY, completed, with_both
 from echowire.sources.tables import PAIR
 
 
@@ -145,14 +145,12 @@ def sample_url_comparisons(ratings: DataFrame, articles: DataFrame, limit: int =
     Pairs whose article is missing are left out before the cut, on ids alone; the URLs are
     joined to the `limit` rows that remain.
     """
-    ids = articles.select("id")
     ranked = completed(ratings, "urlCheck").select(*PAIR, "urlCheck")
-    for role in PAIR:
-        ranked = ranked.join(ids.withColumnRenamed("id", role), role, "left_semi")
+    ranked = with_both(ranked, articles.select(F.col("id").alias("articleId")))
     top = ranked.orderBy(F.desc("urlCheck"), *PAIR).limit(limit)
     for role in ("New", "Approved"):
         side = articles.select(F.col("id").alias(f"articleId{role}"), F.col("url").alias(f"url{role}"))
-        top = side.join(F.broadcast(top), f"articleId{role}")
+        top = side.join(top, f"articleId{role}")
         top = with_canonical_url(top, f"url{role}", f"canonical{role}")
     return top.select(
         *PAIR, "urlCheck", "urlNew", "urlApproved", "canonicalNew", "canonicalApproved"
