@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from echowire.functions.urls import domain_of, with_canonical_url
 from echowire.operators import features, implied, ratings
 from echowire.operators.figures import one_row
-from echowire.operators.similarity import similarity_progress, similarity_report
+from echowire.operators.similarity import similar_pairs, similarity_progress, similarity_report
 from echowire.operators.skew import attach
 from echowire.plans import passes, reports
 from echowire.session import scratch_path
@@ -366,6 +366,9 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "embedding_best_matches": lambda s, d: _rounded(similarity_report(
             _everyone(_vectors(s, d).select("articleId")), _vectors(s, d), THRESHOLD,
             exclude_self=True), "total", "best"),
+        "embedding_similar_pairs": lambda s, d: _rounded(_whole_numbers(similar_pairs(
+            _everyone(_vectors(s, d).select("articleId")), _vectors(s, d), THRESHOLD)).select(
+            "newClass", "approvedClass", "similarity", "pairs"), "similarity"),
         "embedding_implied_progress": _implied_similarity,
         "ratings_pending_count": lambda s, d: _scored(s, d, "embeddingSearch").agg(*(
             F.count_if(F.col(m).isNull()).alias(f"pending_{m}") for m in tables.METRICS)),
@@ -678,6 +681,12 @@ def _article_sql() -> dict[str, str]:
                 round(max(c), 6) AS best,
                 (list(other ORDER BY round(c, 12) DESC, other))[1] AS bestId
             FROM p GROUP BY articleId""",
+        "embedding_similar_pairs": f"""WITH {_VECS},
+            c AS (SELECT *, min(articleId) OVER (PARTITION BY v) AS cls FROM vecs),
+            p AS (SELECT x.cls AS newClass, y.cls AS approvedClass, {_COSINE.format("x.v", "y.v")} AS c
+                FROM c x JOIN c y ON x.articleId <> y.articleId)
+            SELECT newClass, approvedClass, round(max(c), 6) AS similarity, count(*) AS pairs
+            FROM p WHERE c > {THRESHOLD} GROUP BY ALL""",
         "embedding_implied_progress": f"""WITH {_IMPLIED_RATED}, f AS (
             SELECT count(*) AS total_pairs, {_EMBEDDING_FIGURES},
                 coalesce(round(avg(embeddingSearch), 6), 0.0) AS overall_avg_similarity,

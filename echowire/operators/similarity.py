@@ -1,15 +1,18 @@
 """Cosine similarity on the pairs a roster implies.
 
-Every pair has a score of its own, so the arithmetic is that of all pairs; no pair is written.
-Both lists are cut into blocks of bounded size, each pair of blocks is one matrix product in
-one task, and a task returns one row of sums per new article. Blocks are cut by a hash of the
-article id, so neither copies of a vector nor a crowded region of space make one larger.
+Every pair has a score of its own, so the arithmetic is that of all pairs. Both lists are cut
+into blocks of bounded size and each pair of blocks is one matrix product in one task. The report
+returns one row of sums per new article and writes no pair; the list of similar pairs holds equal
+vectors as one class, so its size is that of the matches between different vectors. Blocks are cut by
+a hash of the id, so neither copies of a vector nor a crowded region of space make one larger. Their
+number follows from the bytes of the vectors, and is at least such that all task slots have work.
 """
 
 from __future__ import annotations
 
 import math
 import sys
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -17,16 +20,18 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from echowire.functions.numbers import pair_sum
+from echowire.functions.numbers import pair_product, pair_sum
 from echowire.functions.vectors import lengths_of, matrix_of
 from echowire.operators.figures import embedding_percentages, one_row
 from echowire.operators.implied import members_of, pair_count
 from echowire.operators.ratings import HIGH_SIMILARITY
+from echowire.session import stored
 
 # The task function travels with its helpers, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BLOCK_ROWS = 16384
+BLOCK_BYTES = 64 << 20  # of vectors as doubles; each is sent once per block of the other side
+LEAST_ROWS = 128  # of a block, however many task slots there are
 _CELLS = 1 << 22  # scores held at once inside a task
 
 _SUMS = (
@@ -106,12 +111,39 @@ def _block_sums(threshold: float, exclude_self: bool):
     return sums
 
 
+def _blockwise(new: DataFrame, approved: DataFrame, blocks: tuple[int, int], compare: Callable, schema: str) -> DataFrame:
+    """`compare` on every pair of blocks of two tables of id, load and vector."""
+    keys = ["newBlock", "approvedBlock"]
+
+    def cut(rows: DataFrame, own: int) -> DataFrame:
+        return rows.select(
+            "id", "load", "vector",
+            F.pmod(F.xxhash64("id"), F.lit(blocks[own])).cast("int").alias(keys[own]),
+            F.explode(F.sequence(F.lit(0), F.lit(blocks[1 - own] - 1))).alias(keys[1 - own]),
+        )
+
+    return cut(new, 0).groupBy(*keys).cogroup(cut(approved, 1).groupBy(*keys)).applyInArrow(compare, schema)
+
+
+def _block_counts(members: DataFrame, block_rows: int | None) -> tuple[int, int]:
+    """Into how many blocks to cut new and approved members, a stored table."""
+    *sizes, dimension = members.agg(
+        F.count("newLoad"), F.count("approvedLoad"), F.max(F.size("embedding"))
+    ).first()
+    most = block_rows or max(LEAST_ROWS, BLOCK_BYTES // (8 * max(1, dimension or 1)))
+    slots = members.sparkSession.sparkContext.defaultParallelism
+    spread = math.ceil(math.sqrt(2 * slots))
+    return tuple(
+        max(1, math.ceil(n / most), min(spread, math.ceil(n / LEAST_ROWS)) if not block_rows else 1) for n in sizes
+    )
+
+
 def similarity_report(
     roster: DataFrame,
     vectors: DataFrame,
     threshold: float = HIGH_SIMILARITY,
     exclude_self: bool = False,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Each new article with a vector row: how many approved articles it was compared with,
     failures, scores above the threshold, the sum of scores, and its best match.
@@ -119,25 +151,14 @@ def similarity_report(
     Failures are pairs whose vectors are missing or differ in dimension; they count as
     compared with score 0.0. `vectors` has one row per article.
     """
-    members = members_of(roster, vectors.select("articleId", "embedding"))
-    sizes = members.agg(F.count("newLoad"), F.count("approvedLoad")).first()
-    new_blocks, approved_blocks = (max(1, math.ceil(n / block_rows)) for n in sizes)
-
-    def cut(load: str, own: str, blocks: int, other: str, other_blocks: int) -> DataFrame:
-        return members.where(F.col(load).isNotNull()).select(
-            F.col("articleId").alias("id"),
-            F.col(load).alias("load"),
-            F.col("embedding").alias("vector"),
-            F.pmod(F.xxhash64("articleId"), F.lit(blocks)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))).alias(other),
-        )
-
-    keys = ["newBlock", "approvedBlock"]
-    new = cut("newLoad", "newBlock", new_blocks, "approvedBlock", approved_blocks)
-    approved = cut("approvedLoad", "approvedBlock", approved_blocks, "newBlock", new_blocks)
-    sums = new.groupBy(*keys).cogroup(approved.groupBy(*keys)).applyInArrow(
-        _block_sums(threshold, exclude_self), _SUMS
-    )
+    members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
+    blocks = _block_counts(members, block_rows)
+    sides = [
+        members.where(F.col(load).isNotNull()).select(
+            F.col("articleId").alias("id"), F.col(load).alias("load"), F.col("embedding").alias("vector")
+        ) for load in ("newLoad", "approvedLoad")
+    ]
+    sums = _blockwise(*sides, blocks, _block_sums(threshold, exclude_self), _SUMS)
     best = F.max(F.struct(
         F.round("best", 12).alias("rank"), (-F.col("bestId")).alias("minusId"), "best"
     ))
@@ -151,6 +172,88 @@ def similarity_report(
     )
 
 
+def _block_matches(threshold: float):
+    def matches(new: pa.Table, approved: pa.Table) -> pa.Table:
+        new_ids, new_loads = _ints(new, "id"), _ints(new, "load")
+        approved_ids, approved_loads = _ints(approved, "id"), _ints(approved, "load")
+        found = ([], [], [], [], [])
+        targets = _unit_vectors(approved)
+        for dimension, (rows, matrix) in _unit_vectors(new).items():
+            if dimension not in targets:
+                continue
+            columns, others = targets[dimension]
+            step = max(1, _CELLS // max(1, len(columns)))
+            for start in range(0, len(rows), step):
+                part = rows[start : start + step]
+                with np.errstate(invalid="ignore"):
+                    scores = matrix[start : start + step] @ others.T
+                    high = (scores > threshold) & (approved_loads[columns][None, :] <= new_loads[part, None])
+                i, j = np.nonzero(high)
+                i_, j_ = part[i], columns[j]
+                values = (new_ids[i_], new_loads[i_], approved_ids[j_], approved_loads[j_], scores[i, j])
+                for held, more in zip(found, values):
+                    held.append(more)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        columns = [pa.array(np.concatenate(x) if x else [], kind) for x, kind in zip(found, kinds)]
+        return pa.table(columns, names=["newClass", "newLoad", "approvedClass", "approvedLoad", "similarity"])
+
+    return matches
+
+
+def vector_classes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of new and of approved members with equal vectors and loads: vector, load, id, articles.
+
+    A class has the lowest id of its articles; pairs exist for all of a class or for none.
+    """
+    def classes(load: str) -> DataFrame:
+        held = members.where(F.col(load).isNotNull() & F.col("embedding").isNotNull())
+        return held.groupBy(F.col("embedding").alias("vector"), F.col(load).alias("load")).agg(
+            F.min("articleId").alias("id"), F.count("*").alias("articles")
+        )
+
+    return classes("newLoad"), classes("approvedLoad")
+
+
+def class_members(roster: DataFrame, vectors: DataFrame) -> DataFrame:
+    """articleId, role, load, classId: which articles a class of `similar_pairs` stands for."""
+    members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
+    sides = []
+    for role, load, classes in zip(("new", "approved"), ("newLoad", "approvedLoad"), vector_classes(members)):
+        keyed = classes.select(F.col("vector").alias("embedding"), F.col("load").alias(load), F.col("id").alias("classId"))
+        sides.append(members.join(keyed, ["embedding", load]).select(
+            "articleId", F.lit(role).alias("role"), F.col(load).alias("load"), "classId"))
+    return sides[0].unionByName(sides[1])
+
+
+def similar_pairs(
+    roster: DataFrame, vectors: DataFrame, threshold: float = HIGH_SIMILARITY, block_rows: int | None = None
+) -> DataFrame:
+    """All implied pairs of different articles scoring above the threshold, by classes of equal vectors.
+
+    newClass, newLoad, approvedClass, approvedLoad, similarity, and `pairs`, the number of article pairs that the
+    row stands for; `class_members` names the articles. Copies of a vector are compared and listed once.
+    """
+    members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
+    new, approved = (stored(c, "vector-classes") for c in vector_classes(members))
+    found = _blockwise(new, approved, _block_counts(members, block_rows), _block_matches(threshold), (
+        "newClass bigint, newLoad bigint, approvedClass bigint, approvedLoad bigint, similarity double"))
+    # a class holds copies of one vector, so articles in both roles are paired with themselves
+    both = members.where("newLoad IS NOT NULL AND approvedLoad <= newLoad AND embedding IS NOT NULL")
+    both = both.groupBy(F.col("embedding").alias("vector"), "newLoad", "approvedLoad").agg(F.count("*").alias("selves"))
+    for classes, load, name in ((new, "newLoad", "newClass"), (approved, "approvedLoad", "approvedClass")):
+        both = both.join(classes.select("vector", F.col("load").alias(load), F.col("id").alias(name)), ["vector", load])
+    both = both.drop("vector")
+    for classes, load, name, size in (
+        (new, "newLoad", "newClass", "newArticles"), (approved, "approvedLoad", "approvedClass", "approvedArticles")
+    ):
+        found = found.join(
+            classes.select(F.col("id").alias(name), F.col("load").alias(load), F.col("articles").alias(size)), [name, load])
+    keys = ["newClass", "newLoad", "approvedClass", "approvedLoad"]
+    pairs = pair_product(F.col("newArticles"), F.col("approvedArticles")) - F.coalesce("selves", F.lit(0))
+    counted = found.join(both, keys, "left").withColumn("pairs", pairs.cast("decimal(38,0)"))
+    return counted.where("pairs > 0").select(*keys, "similarity", "pairs")
+
+
 def similarity_progress(roster: DataFrame, report: DataFrame) -> DataFrame:
     """Total, completed and pending pairs, high scores, failures and both means.
 
