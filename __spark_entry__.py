@@ -19,7 +19,7 @@ from echowire.operators import features, implied, ratings
 from echowire.operators.figures import one_row
 from echowire.operators.similarity import similar_pairs, similarity_progress, similarity_report
 from echowire.operators.skew import attach
-from echowire.plans import passes, reports
+from echowire.plans import passes, reports, runs
 from echowire.session import scratch_path
 from echowire.sources import id_files, tables
 from echowire.sources.intake_log import LOG, load_rows, roster
@@ -33,6 +33,7 @@ except ModuleNotFoundError as missing:
     corpus_pipeline = corpus = None
 
 RUN_TS = datetime(2024, 1, 1, tzinfo=timezone.utc)
+WEIGHTS = {"urlCheck": 3.0, "contentHash": 2.0, "embeddingSearch": 1.0}
 LATER_TS = datetime(2024, 2, 1, tzinfo=timezone.utc)
 THRESHOLD = 0.3  # the given vectors are far apart; the default 0.8 would select copies only
 
@@ -260,6 +261,18 @@ def _recomputed(spark: SparkSession, sf: str) -> DataFrame:
     return _cells(again, "contentHash")
 
 
+def _run_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of a loading and a content run, appended to a table and read back."""
+    path = scratch_path(spark, "runs")
+    pairs, scored = _source_pairs(spark, sf), _scored(spark, sf, "contentHash")
+    runs.append_run(runs.run_record("load", pairs, reports.pair_stats(_loaded(spark, sf)), RUN_TS), path)
+    runs.append_run(runs.run_record(
+        "content", scored.select(*tables.PAIR), reports.content_run_result(scored), RUN_TS), path)
+    return runs.read_runs(spark, path).select(
+        "operation", "inputRows", "inputHash", F.col("counts")["total_pairs"].alias("total_pairs"),
+        F.col("counts")["processed"].alias("processed"), F.col("counts")["matches"].alias("matches"))
+
+
 def _cleared(spark: SparkSession, sf: str) -> DataFrame:
     """Rows touched by emptying each metric, and what is left after emptying the URL scores."""
     stored = _all_scored(spark, sf)
@@ -373,6 +386,8 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ratings_pending_count": lambda s, d: _scored(s, d, "embeddingSearch").agg(*(
             F.count_if(F.col(m).isNull()).alias(f"pending_{m}") for m in tables.METRICS)),
         "ratings_fill_pending": lambda s, d: _cells(_all_scored(s, d), *tables.METRICS),
+        "ratings_composite": lambda s, d: _rounded(ratings.composite_scores(
+            _all_scored(s, d), WEIGHTS), "score", "scoreWeighted"),
         "ratings_recompute": _recomputed,
         "ratings_limited_pass": _limited,
         "ratings_fill_keeps_scores": _filled,
@@ -380,6 +395,7 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ratings_reset": lambda s, d: one_row(
             _loaded(s, d).agg(F.count("*").alias("deleted")),
             ratings.reset(_loaded(s, d), confirm=True).agg(F.count("*").alias("remaining"))),
+        "run_records": _run_records,
         "status_report": lambda s, d: _rounded(reports.status_report(
             _all_scored(s, d), _approved(s, d), THRESHOLD), "avg_similarity_score"),
         "status_report_implied": _implied_status,
@@ -697,6 +713,24 @@ def _article_sql() -> dict[str, str]:
             FROM rated""",
         "ratings_fill_pending": f"""WITH {_RATED} SELECT articleIdNew, articleIdApproved, urlCheck,
             contentHash, round(embeddingSearch, 6) AS embeddingSearch FROM rated""",
+        "ratings_composite": f"""WITH {_RATED}, p AS (SELECT *,
+                (urlCheck IS NOT NULL)::INT AS u, (contentHash IS NOT NULL)::INT AS k,
+                (embeddingSearch IS NOT NULL)::INT AS e, coalesce(urlCheck, 0.0) AS us,
+                coalesce(contentHash, 0.0) AS ks, coalesce(embeddingSearch, 0.0) AS es FROM rated)
+            SELECT articleIdNew, articleIdApproved,
+                CASE WHEN u + k + e > 0 THEN round((us + ks + es) / (u + k + e), 6) END AS score,
+                CASE WHEN u + k + e > 0 THEN round((3 * us + 2 * ks + es) / (3 * u + 2 * k + e), 6) END
+                    AS scoreWeighted FROM p""",
+        "run_records": f"""WITH {_PAIRS}, h AS (
+                SELECT 'load' AS operation, n, a FROM source_pairs UNION ALL SELECT 'content', n, a FROM loaded),
+            f AS (SELECT operation, count(*) AS inputRows, sum(('0x' || substr(md5(
+                'articleIdApproved=' || a || chr(31) || 'articleIdNew=' || n), 1, 15))::HUGEINT)::VARCHAR AS inputHash
+                FROM h GROUP BY operation),
+            k AS (SELECT count(*) AS processed, count(*) FILTER (x.key = y.key) AS matches
+                FROM loaded JOIN keys x ON x.articleId = n JOIN keys y ON y.articleId = a)
+            SELECT f.*, CASE WHEN operation = 'load' THEN (SELECT count(*) FROM loaded) END AS total_pairs,
+                CASE WHEN operation = 'content' THEN processed END AS processed,
+                CASE WHEN operation = 'content' THEN matches END AS matches FROM f, k""",
         "ratings_recompute":
             f"WITH {_RATED} SELECT articleIdNew, articleIdApproved, contentHash FROM rated",
         "ratings_limited_pass": f"""WITH {_RATED}, first AS (

@@ -172,6 +172,27 @@ def clear_metric(ratings: DataFrame, metric: str, run_ts: datetime) -> DataFrame
     return cleared
 
 
+def composite_scores(ratings: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """Pairs with `score`, the mean of the metrics they have, and `scoreWeighted`, their weighted mean.
+
+    Metrics without a score are left out of both; a pair without any has NULL. Weights are not negative; by default
+    all are 1. A pair whose metrics present have no weight has NULL as its weighted mean.
+    """
+    weights = {metric: 1.0 for metric in METRICS} | (weights or {})
+    if any(w < 0 for w in weights.values()) or set(weights) != set(METRICS):
+        raise ValueError(f"weights must be for {METRICS} and not negative")
+
+    def mean(of: dict[str, float]) -> Column:
+        present = [F.when(F.col(m).isNotNull(), F.lit(float(w))).otherwise(F.lit(0.0)) for m, w in of.items()]
+        parts = [F.coalesce(F.col(m), F.lit(0.0)) * F.lit(float(w)) for m, w in of.items()]
+        total = sum(present[1:], present[0])
+        return F.when(total > 0, sum(parts[1:], parts[0]) / total)
+
+    return ratings.select(
+        *PAIR, mean({m: 1.0 for m in METRICS}).alias("score"), mean(weights).alias("scoreWeighted")
+    )
+
+
 def cleared_count(ratings: DataFrame, metric: str) -> DataFrame:
     """How many rows an emptying touches: all for URL scores, else those with a score."""
     touched = F.count("*") if metric == "urlCheck" else F.count(metric)
