@@ -6,9 +6,12 @@ second hash, the number of leading zeros and the ten bits behind the first one.
 that share a band are candidates. Candidates pass an estimate of the Jaccard similarity, corrected for register
 collisions and taken with a margin of five deviations, and are then verified on their full sets.
 
-Groups are not expanded into all pairs. Every class is first compared with the pivot (smallest id) of each of its
-bands, which joins a group of copies in linear work. Only classes of one band that are still in different components
-are then compared with each other, in blocks of bounded size, so no link that would join two components is lost.
+Groups are not expanded into all pairs. Every class is first compared with the pivot of each of its bands, the class
+that shares its bands with most others (of these the smallest id). A group of copies of one text is joined by that text
+in linear work. Only classes of one band that are still in different components
+are then compared with each other, in blocks of bounded size: by registers, then by their whole sets in 32-bit hashes.
+A block returns no more than a spanning forest of its links and the pairs too near the threshold to tell, and these are
+verified on full sets. So no link that would join two components is lost.
 
 With BANDS x BAND_ROWS registers, two documents at the threshold share a band with probability 1 - 2e-5, and more
 similar ones nearly always.
@@ -45,7 +48,9 @@ EMPTY = 0xFFFF
 #: Deviations by which an estimate may fall short of the threshold.
 MARGIN = 5.0
 #: Rows of a block of candidates.
-BLOCK = 256
+BLOCK = 1024
+#: Ids (8 bytes each) that may be broadcast.
+BROADCAST_IDS = 1_000_000
 
 
 def registers(shingles: np.ndarray, n: int = BANDS * BAND_ROWS) -> np.ndarray:
@@ -63,30 +68,48 @@ def registers(shingles: np.ndarray, n: int = BANDS * BAND_ROWS) -> np.ndarray:
     return out
 
 
-def collision_rate(load_a: np.ndarray, load_b: np.ndarray) -> np.ndarray:
-    """Chance that registers of unrelated buckets agree, from the mean number of shingles in a bucket of either side."""
+def zero_chances(load: np.ndarray) -> np.ndarray:
+    """Chance of each leading-zero count of a register, by the mean number of shingles in its bucket (rows x counts)."""
     at = 2.0 ** -np.arange(0, 54)
-
-    def zeros(load):  # chance of each leading-zero count of the minimum
-        load = np.maximum(np.asarray(load, dtype=float), 1e-9)[..., None]
-        p = np.exp(-load * at[1:]) - np.exp(-load * at[:-1])
-        return p / np.maximum(p.sum(-1, keepdims=True), 1e-12)
-
-    return (zeros(load_a) * zeros(load_b)).sum(-1) / (1 << MANTISSA)
-
-
-def estimated(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Collision-corrected Jaccard estimates of register rows a[i] and b[i], and the number of registers behind them."""
-    used = (a != EMPTY) | (b != EMPTY)
-    n = np.maximum(used.sum(-1), 1)
-    share = ((a == b) & used).sum(-1) / n
-    chance = collision_rate(n_a / a.shape[-1], n_b / b.shape[-1])
-    return ((share - chance) / (1 - chance)).clip(0, 1), n
-
-
-def plausible(estimate: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    limit = percent / 100
-    return estimate >= limit - MARGIN * np.sqrt(limit * (1 - limit) / n)
+    load = np.maximum(np.asarray(load, dtype=float), 1e-9)[..., None]
+    p = np.exp(-load * at[1:]) - np.exp(-load * at[:-1])
+    return p / np.maximum(p.sum(-1, keepdims=True), 1e-12)
+
+
+class Sketches:
+    """Registers of some sets and what estimates need of each."""
+
+    def __init__(self, rows: list[bytes], n: np.ndarray):
+        self.rows = np.stack([np.frombuffer(r, np.uint16) for r in rows])
+        self.n = np.asarray(n, dtype=float)
+        held = self.rows != EMPTY
+        self.other = np.where(held, self.rows, EMPTY - 1)  # two empty registers do not agree
+        self.held = held.astype(np.float32)
+        self.zeros = zero_chances(self.n / self.rows.shape[1])
+
+    def plausible(self, i: int, others: np.ndarray, percent: int) -> np.ndarray:
+        """Those of `others` that may have the similarity with row i.
+
+        The share of equal registers is corrected for registers that agree by chance. Sizes alone rule out many pairs.
+        Registers sample the union without replacement, so the deviation shrinks as they come to hold most of it.
+        """
+        limit = percent / 100
+        others = others[100 * np.minimum(self.n[i], self.n[others]) >= percent * np.maximum(self.n[i], self.n[others])]
+        if not len(others):
+            return others
+        equal = np.count_nonzero(self.rows[i] == self.other[others], axis=1)
+        used = self.held[i].sum() + self.held[others].sum(1) - self.held[others] @ self.held[i]
+        chance = self.zeros[others] @ self.zeros[i] / (1 << MANTISSA)
+        estimate = (equal / used - chance) / (1 - chance)
+        union = np.maximum((self.n[i] + self.n[others]) / (1 + limit), used)
+        deviation = np.sqrt(limit * (1 - limit) / used * np.maximum(1 - used / union, 0.05))
+        return others[estimate >= limit - MARGIN * deviation - 1 / used]
+
+    def first_band(self, i: int, others: np.ndarray) -> np.ndarray:
+        """The first band in which row i and each of the others agree."""
+        same = (self.rows[i] == self.rows[others]).reshape(len(others), BANDS, BAND_ROWS).all(-1)
+        held = ((self.held[i] + self.held[others]) > 0).reshape(len(others), BANDS, BAND_ROWS).any(-1)
+        return (same & held).argmax(1)
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -121,24 +144,23 @@ def signatures(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def band_rows(classes: DataFrame) -> DataFrame:
-    """key and id for each band of each class; a band without any shingle is left out."""
+    """key, band and id for each band of each class; a band without any shingle is left out."""
 
     def make():
         def run(batch: pa.RecordBatch) -> list:
-            if not batch.num_rows:
-                return [[], []]
             ids = batch.column("id").to_numpy()
             rows = np.stack([np.frombuffer(x, np.uint16) for x in batch.column("registers").to_pylist()])
             rows = rows.reshape(len(ids), BANDS, BAND_ROWS)
-            key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), (len(ids), BANDS))
+            band = np.broadcast_to(np.arange(BANDS, dtype=np.int32), (len(ids), BANDS))
+            key = band.astype(np.uint64)
             for i in range(BAND_ROWS):
                 key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, :, i].astype(np.uint64) + np.uint64(1))
             held = (rows != EMPTY).any(-1)
-            return [key[held].view(np.int64), np.repeat(ids, BANDS).reshape(-1, BANDS)[held]]
+            return [key[held].view(np.int64), band[held], np.repeat(ids, BANDS).reshape(-1, BANDS)[held]]
 
         return run
 
-    return map_rows(classes.select("id", "registers"), "key long, id long", make)
+    return map_rows(classes.select("id", "registers"), "key long, band int, id long", make)
 
 
 def _text_sets(words: int):
@@ -148,13 +170,22 @@ def _text_sets(words: int):
     return prepare
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id and value (the text) of the documents in `ids`, a table of distinct ids.
+
+    Up to BROADCAST_IDS ids are broadcast and no text is shuffled; a longer list is joined by shuffle.
+    """
+    ids = stored(ids, "wanted")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    found = texts(docs).join(ids, F.col("doc_id") == F.col("id"), "left_semi")
+    return found.select(F.col("doc_id").alias("id"), F.col("text").alias("value"))
+
+
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of documents whose full sets are similar enough. Only texts of documents in a pair travel on."""
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    held = stored(
-        texts(docs).join(wanted, F.col("doc_id") == F.col("id"), "left_semi")
-        .select(F.col("doc_id").alias("id"), F.col("text").alias("value")), "candidate-texts",
-    )
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    held = stored(_texts_of(docs, ids), "candidate-texts")
     return against_pivots(pairs, held, _text_sets(words), lambda a, b: linked(a, b, percent))
 
 
@@ -162,50 +193,125 @@ def _estimated_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> Data
     """Pairs that pass the estimate."""
     values = classes.select("id", F.struct("registers", "n_shingles").alias("value"))
 
-    def prepare(value: dict) -> tuple:
-        return np.frombuffer(value["registers"], np.uint16), value["n_shingles"]
+    def test(a: dict, b: dict) -> bool:
+        both = Sketches([a["registers"], b["registers"]], np.array([a["n_shingles"], b["n_shingles"]]))
+        return len(both.plausible(0, np.array([1]), percent)) > 0
 
-    def test(a: tuple, b: tuple) -> bool:
-        estimate, n = estimated(a[0][None], b[0][None], np.array([a[1]]), np.array([b[1]]))
-        return bool(plausible(estimate, n, percent)[0])
+    return against_pivots(pairs, values, lambda value: value, test)
 
-    return against_pivots(pairs, values, prepare, test)
 
+def _short_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """id and short_set (sorted 32-bit hashes as bytes) of the documents in `ids`."""
 
-def _across_components(shared: DataFrame, classes: DataFrame, joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of one band and different components that pass the estimate."""
-    held = shared.join(joined, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed_keys = held.groupBy("key").agg(
+    def make():
+        def run(batch: pa.RecordBatch) -> list:
+            sets = [(shingle_set(t, words) >> np.uint64(32)).astype(np.uint32).tobytes() for t in utf8(batch, "value")]
+            return [batch.column("id"), sets]
+
+        return run
+
+    return map_rows(_texts_of(docs, ids), "id long, short_set binary", make)
+
+
+def _join_block(group: pa.Table, percent: int) -> tuple[list[int], list[int]]:
+    """Pairs of one pair of blocks that join components, and pairs too close to the threshold for short hashes.
+
+    A pair is looked at in its first common band only. Among pairs that are similar by a clear margin a spanning
+    forest is enough.
+    """
+    ids, component, block, band = (group[c].to_numpy() for c in ("id", "component", "block", "band"))
+    sketches = Sketches(group["registers"].to_pylist(), group["n_shingles"].to_numpy())
+    sets = [np.frombuffer(x, np.uint32) for x in group["short_set"].to_pylist()]
+    split = group["left"][0].as_py() != group["right"][0].as_py()
+    up = {c: c for c in component.tolist()}
+
+    def root(c: int) -> int:
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+
+    firsts, seconds = [], []
+    places = np.arange(len(ids))
+    for i in range(len(ids)):
+        others = places[(block > block[i]) if split else (places > i)]
+        others = sketches.plausible(i, others[component[others] != component[i]], percent)
+        if len(others):
+            others = others[sketches.first_band(i, others) == band[i]]
+        if not len(others):
+            continue
+        sizes = np.array([len(sets[j]) for j in others])
+        every = np.concatenate([sets[j] for j in others])
+        at = np.minimum(np.searchsorted(sets[i], every), len(sets[i]) - 1)
+        common = np.add.reduceat((sets[i][at] == every).astype(np.int64), np.r_[0, np.cumsum(sizes)[:-1]])
+        total = sizes + len(sets[i])
+
+        def similar(n: np.ndarray) -> np.ndarray:
+            return 100 * n >= percent * (total - n)
+
+        clear = similar(common - 2)
+        for j, sure in zip(others[similar(common + 2)], clear[similar(common + 2)]):
+            a, b = root(int(component[i])), root(int(component[j]))
+            if sure and a == b:
+                continue
+            if sure:
+                up[max(a, b)] = min(a, b)
+            firsts.append(int(min(ids[i], ids[j])))
+            seconds.append(int(max(ids[i], ids[j])))
+    return firsts, seconds
+
+
+def _plausible_ids(group: pa.Table, percent: int) -> np.ndarray:
+    """Ids of one pair of blocks that may be similar to one of another component, by registers."""
+    ids, component, block = (group[c].to_numpy() for c in ("id", "component", "block"))
+    sketches = Sketches(group["registers"].to_pylist(), group["n_shingles"].to_numpy())
+    split = group["left"][0].as_py() != group["right"][0].as_py()
+    places, found = np.arange(len(ids)), np.zeros(len(ids), dtype=bool)
+    for i in range(len(ids)):
+        others = places[(block > block[i]) if split else (places > i)]
+        others = sketches.plausible(i, others[component[others] != component[i]], percent)
+        found[others] = True
+        found[i] |= len(others) > 0
+    return ids[found]
+
+
+_BLOCK_KEYS = ["key", "left", "right"]
+
+
+def _in_blocks(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """Rows (key, band, id, component) of the bands that hold several components, in sorted pairs of blocks."""
+    mixed_keys = rows.groupBy("key").agg(
         F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low <> high").select("key", "n")
-    rows = held.join(mixed_keys, "key").join(classes.select("id", "registers", "n_shingles"), "id")
-    rows = block_pairs(rows, "n", "id", BLOCK)
-    keys = ["key", "left", "right"]
-    rows = rows.select(*keys, "block", "id", "component", "n_shingles", "registers")
-    rows = rows.repartition(*keys).sortWithinPartitions(*keys, "block", "id")
+    cut = block_pairs(rows.join(mixed_keys, "key"), "n", "id", BLOCK).join(values, "id")
+    return cut.repartition(*_BLOCK_KEYS).sortWithinPartitions(*_BLOCK_KEYS, "block", "id")
+
+
+def _across_components(shared: DataFrame, classes: DataFrame, joined: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a < b) of one band and different components that join all components that belong together.
+
+    A first pass over registers alone finds the few documents that need their sets compared.
+    """
+    rows = shared.join(joined, "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
+    rows = stored(rows, "bands")
+    registers_of = classes.select("id", "registers", "n_shingles")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, _BLOCK_KEYS):
+            yield pa.RecordBatch.from_arrays([pa.array(_plausible_ids(group, percent), pa.int64())], names=["id"])
+
+    needed = stored(_in_blocks(rows, registers_of).mapInArrow(find, "id long").distinct(), "plausible")
+    values = registers_of.join(_short_sets(docs, needed, words), "id")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, keys):
-            ids, component, n = (group[c].to_numpy() for c in ("id", "component", "n_shingles"))
-            regs = np.stack([np.frombuffer(x, np.uint16) for x in group["registers"].to_pylist()])
-            block = group["block"].to_numpy()
-            split = group["left"][0].as_py() != group["right"][0].as_py()
-            firsts, seconds = [], []
-            for i in range(len(ids)):
-                other = np.flatnonzero((component != component[i]) & ((block > block[i]) if split else (np.arange(len(ids)) > i)))
-                if not len(other):
-                    continue
-                estimate, used = estimated(regs[i][None], regs[other], n[i][None], n[other])
-                good = other[plausible(estimate, used, percent)]
-                firsts.append(np.minimum(ids[good], ids[i]))
-                seconds.append(np.maximum(ids[good], ids[i]))
-            if firsts:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(firsts), pa.int64()), pa.array(np.concatenate(seconds), pa.int64())], schema=schema
-                )
-
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    def join_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, _BLOCK_KEYS):
+            found = _join_block(group, percent)
+            if found[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], schema=schema)
+
+    blocks = _in_blocks(rows.join(needed, "id"), values)
+    return blocks.mapInArrow(join_all, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -218,16 +324,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         ), "classes",
     )
     bands = band_rows(classes)
-    heads = bands.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-    shared = stored(bands.join(heads.select("key", "pivot"), "key"), "shared-bands")
-    pairs = shared.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    heads = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(bands.join(heads, "key"), "shared-bands")
+    # the text that others were copied from shares most bands with them
+    weights = shared.groupBy("id").agg(F.sum("n").alias("weight"))
+    rank = F.struct("weight", (-F.col("id")).alias("id"))
+    pivots = shared.join(weights, "id").groupBy("key").agg((-F.max(rank)["id"]).alias("pivot"))
+    pairs = shared.join(pivots, "key").where("id <> pivot")
+    pairs = pairs.select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     pairs = stored(_estimated_pairs(pairs, classes, percent), "pivot-pairs")
     links = stored(verified(pairs, docs, words, percent), "pivot-links")
     edge = (F.col("a").alias("src"), F.col("b").alias("dst"))
     joined = stored(connected(links.select(*edge)), "joined")
 
-    rest = _across_components(shared.select("key", "id"), classes, joined, percent)
-    rest = stored(rest.join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
+    rest = stored(_across_components(shared.drop("n"), classes, joined, docs, words, percent), "rest-pairs")
     more = stored(verified(rest, docs, words, percent), "rest-links")
     starred = joined.where("id <> component").select(F.col("id").alias("src"), F.col("component").alias("dst"))
     component = connected(starred.unionByName(more.select(*edge)))
