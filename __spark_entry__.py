@@ -249,7 +249,7 @@ def _letter_vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, sf: str) -> DataFrame:
-    return reports.sample_url_comparisons(_scored(spark, sf, "urlCheck"), _articles(spark, sf), 10)
+    return reports.best_scored_urls(_scored(spark, sf, "urlCheck"), _articles(spark, sf), 10)
 
 
 def _recomputed(spark: SparkSession, sf: str) -> DataFrame:

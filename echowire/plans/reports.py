@@ -139,7 +139,7 @@ def embedding_run_result(scored: DataFrame, threshold: float = HIGH_SIMILARITY)
     )
 
 
-def sample_url_comparisons(ratings: DataFrame, articles: DataFrame, limit: int = 10) -> DataFrame:
+def best_scored_urls(ratings: DataFrame, articles: DataFrame, limit: int = 10) -> DataFrame:
     """The `limit` best-scored pairs with both URLs as given and in canonical form.
 
     Pairs whose article is missing are left out before the cut, on ids alone; the URLs are

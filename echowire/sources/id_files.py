@@ -22,7 +22,7 @@ def read_id_file(spark: SparkSession, path: str | list[str], multiline: bool = F
     for name in lines.columns:
         if name.strip() == ID_COLUMN:
             return lines.select(F.col(f"`{name}`").alias("rawId"))
-    raise ValueError(f"CSV file must have '{ID_COLUMN}' column, found {lines.columns}")
+    raise ValueError(f"no column named {ID_COLUMN} among {lines.columns}")
 
 
 def parsed_id(raw: Column) -> Column:

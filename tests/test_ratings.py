@@ -153,7 +153,7 @@ def test_pending_views(data, loaded):
 
 def test_sample(data, loaded):
     scored = R.score_pending(loaded, "urlCheck", features.url_features(data[0]), T1)
-    rows = reports.sample_url_comparisons(scored, data[0], 3).collect()
+    rows = reports.best_scored_urls(scored, data[0], 3).collect()
     assert [(r.articleIdNew, r.articleIdApproved, r.urlCheck) for r in rows] == [
         (1, 2, 1.0), (5, 2, 1.0), (1, 3, 0.0)]
     assert rows[0].urlNew == "http://www.a.com/x/" and rows[0].canonicalNew == "https://a.com/x"

@@ -73,6 +73,7 @@ def test_canonical_rows(spark):
 
 
 def test_url_pairs(spark):
+    # The published pairs.
     rows = [
         ("https://example.com", "http://www.example.com/", True),
         ("https://example.com/article", "https://example.com/different", False),
