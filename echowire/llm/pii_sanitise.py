@@ -201,8 +201,7 @@ def disclosures(docs: DataFrame, found: DataFrame, support: int = SUPPORT) -> Da
     entities = found.select("__row", F.explode("entities").alias("e")).select("__row", "e.entity").distinct()
     entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))
-    every = texts(docs).select(F.explode(words).alias("term"))
-    terms = every.join(near.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    terms = texts(docs).select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     rows = near.join(terms, "term").join(entities, "entity")
     rarity = F.lit(found.count()) / F.col("n_entity")  # 1 / P(e)
     gained = F.log(F.col("n_near") / F.greatest("n_term", "n_near")) + F.log(rarity)
