@@ -197,7 +197,7 @@ def drop_lines(docs: DataFrame, **settings) -> DataFrame:
     text = F.when(F.col("__keep").isNull(), F.col("text")).otherwise(applied("text", "__keep"))
     cleaned = marked.withColumn("__text", text)
     gone = F.col("__keep").isNotNull() & (F.trim(F.translate("__text", "\n\t\r", "   ")) == "")
-    return cleaned.where(~gone).select(*(F.col("__text").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    return cleaned.where(~gone).select(*(F.col("__text").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def digests(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
