@@ -4,7 +4,7 @@ Small trees are grown on the labelled sample, each on the gradient of the trees
 node is a rule, a conjunction of comparisons. Lasso logistic regression weighs the rules and leaves few; these are
 compiled into one Spark column over the statistics, so scoring is a projection.
 
-Learning takes at most SAMPLE labelled rows, those first by hash of their id; only their statistics reach the driver.
+Learning takes about SAMPLE labelled rows at most, chosen by hash of their id; only their statistics reach the driver.
 Labels other than 0 and 1 are ignored. Statistics are computed over whole texts in one pass.
 
 Cases: a null or empty text has all statistics 0 and a score like any other. Without labels of both kinds the score is
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from echowire.llm.frames import map_rows, table, texts, utf8
 from echowire.session import stored
 
-#: Labelled rows that are learnt from at most.
+#: Labelled rows that are learnt from, at most (in the mean over hashes).
 SAMPLE = 20_000
 TREES = 40
 DEPTH = 3
@@ -216,8 +216,10 @@ def train(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model of the labels of rows that are not held out."""
     known = labels.where("quality IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("__label"))
     known = known.where(~held_out())
-    rows = stats.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), *STATISTICS).limit(sample)
-    found = rows.select("__label", *STATISTICS).toPandas()
+    rows = stats.join(known, "doc_id")
+    share = min(1.0, sample / max(1, known.count()))
+    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    found = rows.select("__label", *STATISTICS).toPandas().sort_values(list(STATISTICS) + ["__label"])
     return fit(found[list(STATISTICS)].to_numpy(float), found["__label"].to_numpy(float))
 
 
