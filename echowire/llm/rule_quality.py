@@ -25,6 +25,8 @@ from echowire.session import stored
 
 #: Labelled rows that are learnt from, at most (in the mean over hashes).
 SAMPLE = 20_000
+#: Ids of labelled documents (8 bytes each) that may be broadcast.
+BROADCAST_IDS = 1_000_000
 TREES = 40
 DEPTH = 3
 BINS = 32
@@ -238,7 +240,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshol
     The model is fitted on the statistics of the labelled documents; its rules then run beside the text, so no text is
     shuffled for the decision.
     """
-    known = labels.select("doc_id").distinct()
+    known = stored(labels.where("doc_id IS NOT NULL").select("doc_id").distinct(), "labelled")
+    if known.count() <= BROADCAST_IDS:  # then no text is shuffled to find the labelled documents
+        known = F.broadcast(known)
     stats = stored(with_statistics(docs.join(known, "doc_id", "left_semi")), "labelled-statistics")
     score = train(stats, labels, sample).score()
     names = ", ".join(f"{s}: double" for s in STATISTICS)
