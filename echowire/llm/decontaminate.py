@@ -130,9 +130,10 @@ def _slices(benchmark: DataFrame, slice_bytes: int) -> Iterator[list[tuple[int,
         yield [x for x in items if len(x[1]) >= MIN_BYTES]
 
 
-def passages(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
-    """doc_id, item_id, distance, budget and end (bytes of the normal form) for each item that a document holds."""
-    schema = "doc_id long, item_id long, distance int, budget int, end long"
+def _found(docs: DataFrame, benchmark: DataFrame, share: float, slice_bytes: int) -> DataFrame:
+    """The rows of `passages`, each with the hash of its document's text."""
+    schema = "doc_id long, text_hash long, item_id long, distance int, budget int, end long"
+    hashed = texts(docs).withColumn("text_hash", F.xxhash64("text"))
     found = []
     for items in _slices(benchmark, slice_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(items)  # at most slice_bytes
@@ -143,22 +144,33 @@ def passages(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, s
 
             def run(batch: pa.RecordBatch) -> list:
                 rows = []
-                for doc, text in zip(batch.column("doc_id").to_pylist(), strings(batch, "text")):
-                    rows += [(doc, key, d, budgets[key], end) for key, d, end in matcher.find(normal_form(text))]
-                return list(zip(*rows)) if rows else [[]] * 5
+                ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
+                for doc, text_hash, text in zip(ids, hashes, strings(batch, "text")):
+                    rows += [(doc, text_hash, key, d, budgets[key], end) for key, d, end in matcher.find(normal_form(text))]
+                return list(zip(*rows)) if rows else [[]] * 6
 
             return run
 
-        found.append(map_rows(texts(docs), schema, make))
+        found.append(map_rows(hashed, schema, make))
     if not found:
         return docs.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionAll, found)
 
 
+def passages(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """doc_id, item_id, distance, budget and end (bytes of the normal form) for each item that a document holds."""
+    return _found(docs, benchmark, share, slice_bytes).drop("text_hash")
+
+
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE) -> DataFrame:
-    """The documents that hold no test item, with all their columns."""
-    found = stored(passages(docs, benchmark, share).select(F.col("doc_id").alias("__doc")).distinct(), "contaminated")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["__doc"]), "left_anti")
+    """The documents that hold no test item, with all their columns.
+
+    Rows are told apart by id and text: a clean row stays when another one of its id, or of no id, holds an item.
+    """
+    found = _found(docs, benchmark, share, SLICE_BYTES)
+    found = stored(found.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash")).distinct(), "contaminated")
+    same = docs["doc_id"].eqNullSafe(found["__doc"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == found["__hash"])
+    return docs.join(found, same, "left_anti")
 
 
 def op6_pigeonhole_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -350,11 +350,30 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def _told_apart(docs: DataFrame) -> DataFrame:
+    """`docs` with the column __id: the doc_id or, where rows of one id have different texts, a hash of id and text."""
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    hashed = docs.where("doc_id IS NOT NULL").select("doc_id", text_hash.alias("h"))
+    repeated = hashed.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high")
+    repeated = stored(repeated.select(F.col("doc_id").alias("__doc"), F.lit(True).alias("__again")), "repeated-ids")
+    n = repeated.count()
+    if not n:
+        return docs.withColumn("__id", F.col("doc_id"))
+    marked = docs.join(F.broadcast(repeated) if n <= BROADCAST_IDS else repeated, F.col("doc_id") == F.col("__doc"), "left")
+    own = F.when(F.col("__again"), F.xxhash64("doc_id", text_hash)).otherwise(F.col("doc_id"))
+    return marked.withColumn("__id", own).drop("__doc", "__again")
+
+
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each group of near duplicates, with all its columns; rows with a null id stay."""
-    gone = near_duplicates(docs, **settings).where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("__doc"))
+    """One document of each group of near duplicates, with all its columns; rows with a null id stay.
+
+    Rows of one id with different texts are documents of their own.
+    """
+    told = _told_apart(docs)
+    found = near_duplicates(told.select(F.col("__id").alias("doc_id"), "text"), **settings)
+    gone = found.where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("__gone"))
     gone = stored(gone.distinct(), "near-copies")
-    return docs.join(gone, docs["doc_id"] == gone["__doc"], "left_anti")
+    return told.join(gone, told["__id"] == gone["__gone"], "left_anti").drop("__id")
 
 
 def op3_hyperminhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -403,3 +403,22 @@ def test_pipeline_on_a_fixture(spark, tmp_path):
     last = corpus_pipeline.run(spark, folder).collect()
     assert {r.doc_id for r in last} == seen["test_items"].keys()
     assert all(r.decoded_sha256 == hashlib.sha256((seen["test_items"][r.doc_id] or "").encode()).hexdigest() for r in last)
+
+
+def test_pipeline_stages_tell_rows_of_one_id_apart(spark, documents):
+    made = random.Random(12)
+    text = lambda n: " ".join("".join(made.choice("abcdefghijklm") for _ in range(made.randint(2, 8))) for _ in range(n))
+    item, near = text(25), text(80)
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    clean = [(d, text(40)) for d in (None, None, 7, 7, 8)]
+    held = [(d, f"{text(20)} {item} {text(20)}") for d in (None, 7, 9)]
+    left = decontaminate.drop_contaminated(documents(clean + held), benchmark)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left.collect()))) == sorted(map(str, clean))
+
+    # of id 7 one row is a copy of row 2, the others are like nothing else
+    copy = [(7, near + " tail")]
+    docs = documents(clean + copy + [(2, near)])
+    left = minhash_dedup.drop_near_duplicates(docs)
+    got = sorted(str((r.doc_id, r.text)) for r in left.collect())
+    assert left.columns == docs.columns
+    assert got in [sorted(map(str, clean + one)) for one in (copy, [(2, near)])]
