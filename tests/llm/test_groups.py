@@ -318,6 +318,23 @@ def test_items_against_plain(spark, documents):
     assert decontaminate.passages(docs, benchmark.limit(0)).count() == decontaminate.passages(docs.limit(0), benchmark).count() == 0
 
 
+def test_short_items(spark, documents):
+    items = [(1, "short one"), (2, "x = [[1,2],[3,4]]"), (3, "北京大学"), (4, "Who wrote Hamlet?"), (5, "???"), (6, " "), (7, "a1"), (8, "x 1 2"), (None, "f(x)")]
+    held = {
+        "A Short, ONE indeed": {1}, "take x=[[1, 2], [3,4]].": {2, 8}, "他在北京大学学习": {3}, "asked: who wrotte hamlet": {4}, "what???": {5},
+        "see a1.": {7}, "(short one)": {1}, "x 1 2": {8}, "let f( x ) be": {None},
+        "a short onerous": set(), "ashort one": set(), "max=[[1,2],[3,4]]": {2}, "max=[[1,2],[3,5]]": set(), "x 1 2 3 4 5": {8}, "a12 ba1": set(), "who wrote hamlets": {4},
+        "who wrote it": set(), "北京": set(), "g of x": set(),
+    }
+    docs = documents(list(enumerate(held)))
+    found = decontaminate.passages(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {d: set() for d in range(len(held))}
+    for r in found:
+        got[r.doc_id].add(r.item_id)
+    assert dict(zip(held, got.values())) == held
+    assert {(r.item_id, r.distance) for r in found if r.doc_id in (3, 15)} == {(4, 1)}
+
+
 # ---------------------------------------------------------------------- shards
 
 
