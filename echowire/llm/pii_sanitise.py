@@ -4,11 +4,17 @@ Base spans are the matches of one pattern per kind. The patterns are written wit
 a run of their characters starts (or the match before ended), which finds the same leftmost matches in
 linear time. Positions follow from the lengths of the parts between matches and of the matches.
 
-Terms near a span may give its value away even when the span is removed. Each distinct value is a protected entity. For
-a term t and an entity e the corpus gives P(e) (documents with e), P(e|t) (documents with t near e, out of those with
-t anywhere) and the disclosure log(P(e|t) / P(e)) / log(1 / P(e)): the part of the information of e that t reveals, from
-0 (none) to 1 (all). Terms seen near an entity in at least SUPPORT documents are generalised from GENERALISE on and
-removed from REMOVE on, wherever they stand near that entity.
+Terms of a text may give a value away even when the span is removed. Each distinct value is a protected entity, and so are
+its coarser parts: the kind, the domain of an e-mail, the first digits of a phone or card number, the network of an ip. For
+a term t and an entity e the corpus gives P(e) (texts with e), P(e|t) (texts with both out of those with t, drawn towards
+P(e) as if PRIOR more texts had been seen) and the disclosure log(P(e|t) / P(e)) / log(1 / P(e)): the part of the
+information of e that t reveals, from 0 (none) to 1 (all). Every pair seen is scored. Terms are generalised from GENERALISE
+on and removed from REMOVE on, at all their places in the documents with that entity. A term is a run of letters and digits of
+any length outside the spans; in scripts written without blanks, each two signs in a row.
+
+Equal texts count once: each row weighs one divided by the copies of its text. Entities of the same rows have the same counts
+and are scored as one class. P(e|t) has an upper bound that follows from the texts with t alone, so pairs that
+cannot reach GENERALISE are left out before they are counted, without a change to the result.
 
 Only ids, spans and terms are shuffled, never texts; counts are aggregated before each shuffle. Documents are counted
 over the whole table.
@@ -25,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echowire.llm.frames import table, texts
+from echowire.operators.skew import attach
 from echowire.session import stored
 
 # The kinds in their order. The given patterns are quoted on the right.
@@ -40,15 +47,19 @@ PATTERNS = {
 }
 KINDS = tuple(PATTERNS)
 
-#: Code points on either side of a span in which terms stand near it.
-NEAR = 64
-#: Documents in which a term must stand near an entity before it is judged.
-SUPPORT = 3
+#: Texts with the share P(e) that are added to those with a term.
+PRIOR = 1.0
+#: Repeated texts whose hashes may be broadcast; more are joined by shuffle.
+BROADCAST_IDS = 1_000_000
 GENERALISE = 0.8
 REMOVE = 0.95
 
-_TERM = r"(?<=[^\p{L}\p{M}\p{N}])[\p{L}\p{M}]{3,40}+(?=[^\p{L}\p{M}\p{N}])"
-_WORD = r"(?<![\p{L}\p{M}\p{N}])[\p{L}\p{M}]{3,40}+(?![\p{L}\p{M}\p{N}])"
+# Scripts written without blanks
+_OPEN = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\x{30FC}"
+_WORD = rf"[\p{{L}}\p{{M}}\p{{N}}&&[^{_OPEN}]]++"
+# Two signs in a row from each even and each odd place of a run; a sign that stands alone is a term
+_EVEN = rf"[{_OPEN}]{{2}}|(?<![{_OPEN}])[{_OPEN}](?![{_OPEN}])"
+_ODD = rf"(?<=(?<![{_OPEN}])[{_OPEN}])[{_OPEN}]{{2}}|\G(?<=[{_OPEN}])[{_OPEN}]{{2}}"
 _SPAN = "array<struct<start: int, end: int, value: string>>"
 #: Elements that running sums are taken over at once.
 _RUN = 256
@@ -149,74 +160,144 @@ def base_spans(text: Column) -> dict[str, Column]:
     return out
 
 
-def _entity(kind: str, value: Column) -> Column:
+def _entities(kind: str, value: Column) -> Column:
+    """Names of the entities that a value stands for: itself, its kind, and a part that others share."""
     plain = F.lower(value) if kind == "email" else value if kind == "ip" else _digits(value)
-    return F.concat(F.lit(f"{kind}:"), plain)
+    part = {
+        "email": lambda: F.substring_index(plain, "@", -1), "ip": lambda: F.substring_index(plain, ".", 3),
+        "card": lambda: F.substring(plain, 1, 6), "phone": lambda: F.substring(plain, 1, 5),
+    }[kind]()
+    return F.array(F.concat(F.lit(f"{kind}:"), plain), F.concat(F.lit(f"{kind}-part:"), part), F.lit(f"{kind}-any"))
 
 
-def _near(text: Column, spans: Column) -> Column:
-    """Terms near each span: structs of entity, term, start and end. A context is padded only where the text ends."""
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with a blank for each code point of the spans, which may overlap."""
+
+    def cut(held: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            return _let(F.greatest(F.lit(0), F.array_max(F.slice(held["ends"], F.lit(1), i))), lambda at: F.concat(
+                F.substring(text, at + 1, F.greatest(F.lit(0), s["start"] - at)),
+                F.repeat(F.lit(" "), F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], at))),
+            ))
+
+        rest = F.substring(text, F.array_max(held["ends"]) + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(held["spans"], piece), ""), rest)
+
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    return _let(ordered, lambda o: _let(
+        F.struct(o.alias("spans"), F.transform(o, lambda s: s["end"]).alias("ends")), cut
+    ))
+
+
+def _places(text: Column) -> Column:
+    """All terms of a text: structs of term, start and end."""
+    pairs = F.when(text.rlike(f"[{_OPEN}]"), F.concat(matches(text, _EVEN), matches(text, _ODD))).otherwise(F.array().cast(_SPAN))
+    return F.transform(F.concat(matches(text, _WORD), pairs), lambda t: F.struct(
+        F.lower(t["value"]).alias("term"), t["start"].alias("start"), t["end"].alias("end")
+    ))
 
-    def around(s: Column) -> Column:
-        low = F.greatest(F.lit(0), s["start"] - NEAR - 1)
-        left = F.concat(F.when(low == 0, F.lit(" ")).otherwise(F.lit("")), F.substring(text, low + 1, s["start"] - low), F.lit(" "))
-        left_at = F.when(low == 0, F.lit(-1)).otherwise(low)
-        right = F.concat(F.lit(" "), F.substring(text, s["end"] + 1, F.lit(NEAR + 1)))
-        right = F.when(F.length(text) - s["end"] <= NEAR, F.concat(right, F.lit(" "))).otherwise(right)
-        both = F.concat(matches(left, _TERM, left_at), matches(right, _TERM, s["end"] - 1))
-        return F.transform(both, lambda t: F.struct(
-            s["entity"].alias("entity"), F.lower(t["value"]).alias("term"), t["start"].alias("start"), t["end"].alias("end")
-        ))
 
-    return F.flatten(F.transform(spans, around))
+def _terms(text: Column) -> Column:
+    """The distinct terms of a text."""
 
+    def found(pattern: str) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-def _inside(at: Column, spans: Column) -> Column:
-    return F.exists(spans, lambda s: (at["start"] < s["end"]) & (s["start"] < at["end"]))
+    pairs = F.when(text.rlike(f"[{_OPEN}]"), F.concat(found(_EVEN), found(_ODD))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.transform(F.concat(F.array_distinct(found(_WORD)), pairs), F.lower))
 
 
 def _tagged(kind: str) -> Column:
     return F.transform(f"_{kind}", lambda s: F.struct(
-        _entity(kind, s["value"]).alias("entity"), s["start"].alias("start"), s["end"].alias("end")
+        _entities(kind, s["value"]).alias("names"), s["start"].alias("start"), s["end"].alias("end")
     ))
 
 
-def found_spans(docs: DataFrame) -> DataFrame:
-    """A row id, doc_id, the base spans of each kind, and the terms near them; without the text."""
+def weighed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and weight: one divided by the number of rows with that text."""
     rows = texts(docs)
+    keys = (F.xxhash64("text").alias("__h"), F.xxhash64("text", F.lit(1)).alias("__i"))
+    copies = rows.select(*keys).groupBy("__h", "__i").agg(F.count("*").alias("__n")).where("__n > 1")
+    copies = stored(copies, "copies")
+    n = copies.count()
+    if not n:
+        return rows.withColumn("weight", F.lit(1.0))
+    rows = rows.select("*", *keys).join(F.broadcast(copies) if n <= BROADCAST_IDS else copies, ["__h", "__i"], "left")
+    return rows.select("doc_id", "text", (1.0 / F.coalesce("__n", F.lit(1))).alias("weight"))
+
+
+def found_spans(rows: DataFrame) -> DataFrame:
+    """A row id, doc_id, weight, the base spans of each kind, their entities, and where there are any the terms; no text."""
     kinds = base_spans(F.col("text"))
-    rows = rows.select("doc_id", "text", *(c.alias(f"_{k}") for k, c in kinds.items()))
+    rows = rows.select("doc_id", "weight", "text", *(c.alias(f"_{k}") for k, c in kinds.items()))
     rows = rows.withColumn("entities", F.concat(*(_tagged(k) for k in KINDS)))
-    near = F.when(F.size("entities") > 0, _let(F.col("entities"), lambda e: F.filter(
-        _near(F.col("text"), e), lambda t: ~_inside(t, e)
-    )))
-    return rows.withColumn("terms", near).drop("text").withColumn("__row", F.monotonically_increasing_id())
-
-
-def disclosures(docs: DataFrame, found: DataFrame, support: int = SUPPORT) -> DataFrame:
-    """term, entity, n_near, n_term, n_entity and disclosure of each term seen near an entity often enough."""
-    near = found.where(F.size("terms") > 0).select("__row", F.explode("terms").alias("t"))
-    near = near.select("__row", "t.term", "t.entity").distinct().groupBy("term", "entity").agg(F.count("*").alias("n_near"))
-    near = stored(near.where(F.col("n_near") >= support), "near-terms")
-    entities = found.select("__row", F.explode("entities").alias("e")).select("__row", "e.entity").distinct()
-    entities = entities.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))
-    terms = texts(docs).select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    rows = near.join(terms, "term").join(entities, "entity")
-    rarity = F.lit(found.count()) / F.col("n_entity")  # 1 / P(e)
-    gained = F.log(F.col("n_near") / F.greatest("n_term", "n_near")) + F.log(rarity)
-    return rows.withColumn("disclosure", F.when(rarity > 1, gained / F.log(rarity)).otherwise(F.lit(0.0)))
-
-
-def spans(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+    terms = F.when(F.size("entities") > 0, _let(_masked(F.col("text"), F.col("entities")), _places))
+    names = F.array_distinct(F.flatten(F.transform("entities", lambda e: e["names"])))
+    rows = rows.withColumn("terms", terms).withColumn("entities", names)
+    return rows.drop("text").withColumn("__row", F.monotonically_increasing_id())
+
+
+def _summed(weight: str = "weight") -> Column:
+    return F.round(F.sum(weight)).cast("long")
+
+
+def _row_classes(found: DataFrame, n_texts: int, generalise: float) -> DataFrame:
+    """__row, reach and classes: those entities of a row that a term may disclose, each class of equal rows once.
+
+    A term in more than `reach` texts cannot disclose `generalise` of the class.
+    """
+    held = found.where(F.size("entities") > 0).select("__row", "weight", F.explode("entities").alias("entity"))
+    classes = held.groupBy("entity").agg(
+        _summed().alias("n_entity"), F.bit_xor(F.xxhash64("__row")).alias("x"), F.bit_xor(F.xxhash64("__row", F.lit(1))).alias("y")
+    )
+    p = F.col("n_entity") / F.lit(float(n_texts))
+    reach = (F.col("n_entity") + PRIOR * p) / F.pow(p, F.lit(1 - generalise)) - PRIOR
+    classes = stored(classes.where(F.col("n_entity") < n_texts).withColumn("reach", reach * (1 + 1e-9)).where("reach >= 1"), "entities")
+    rows = attach(held.select("__row", "entity"), classes, ["entity"], ["__row", "entity"])
+    return rows.groupBy("__row").agg(
+        F.max("reach").alias("reach"), F.collect_set(F.struct("x", "y", "n_entity", "reach")).alias("classes")
+    )
+
+
+def term_pairs(rows: DataFrame, found: DataFrame, generalise: float) -> tuple[DataFrame, int]:
+    """__row, weight, term, n_term and class (x, y, n_entity) of all terms that may disclose an entity; the number of texts."""
+    n_texts = round(found.agg(F.sum("weight")).first()[0] or 0)
+    classes = _row_classes(found, n_texts, generalise)
+    counts = rows.select("weight", F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(_summed().alias("n_term"))
+    counts = stored(counts, "term-counts")
+    held = found.where(F.size("terms") > 0).select(
+        "__row", "weight", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term")
+    )
+    held = attach(held, counts, ["term"], ["__row", "term"], how="left").withColumn("n_term", F.coalesce("n_term", F.lit(0)))
+    pairs = held.join(classes, "__row").where(F.col("n_term") <= F.col("reach"))
+    fits = F.filter("classes", lambda c: F.col("n_term") <= c["reach"])
+    pairs = pairs.select("__row", "weight", "term", "n_term", F.explode(fits).alias("c"))
+    return pairs.select("__row", "weight", "term", "n_term", "c.x", "c.y", "c.n_entity"), n_texts
+
+
+def disclosures(pairs: DataFrame, n_texts: int) -> DataFrame:
+    """term, class (x, y), n_near, n_term, n_entity and disclosure of each pair."""
+    rows = pairs.groupBy("term", "x", "y").agg(
+        _summed().alias("n_near"), F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity")
+    )
+    p = F.col("n_entity") / F.lit(float(n_texts))
+    given = (F.col("n_near") + PRIOR * p) / (F.greatest("n_term", "n_near") + PRIOR)
+    return rows.withColumn("disclosure", 1 - F.log(given) / F.log(p))
+
+
+def spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """doc_id, the base spans of each kind, and term spans: structs of start, end and value (the action)."""
-    found = stored(found_spans(docs), "spans")
-    telling = disclosures(docs, found, support).where(F.col("disclosure") >= generalise).select(
-        "term", "entity", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("action")
+    rows = weighed(docs)
+    found = stored(found_spans(rows), "spans")
+    pairs, n_texts = term_pairs(rows, found, generalise)
+    pairs = stored(pairs, "term-pairs")
+    telling = disclosures(pairs, n_texts).where(F.col("disclosure") >= generalise).select(
+        "term", "x", "y", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("action")
     )
-    near = found.where(F.size("terms") > 0).select("__row", F.explode("terms").alias("t")).select("__row", "t.*")
-    marked = near.join(telling, ["term", "entity"]).groupBy("__row", "start", "end").agg(F.max("action").alias("value"))
-    marked = marked.groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("start", "end", "value"))).alias("_term"))
+    told = pairs.join(telling, ["term", "x", "y"]).groupBy("__row", "term").agg(F.max("action").alias("value"))
+    places = found.where(F.size("terms") > 0).select("__row", F.explode("terms").alias("t")).select("__row", "t.*")
+    marked = places.join(told, ["__row", "term"]).groupBy("__row")
+    marked = marked.agg(F.sort_array(F.collect_list(F.struct("start", "end", "value"))).alias("_term"))
     return found.join(marked, "__row", "left").select(
         "doc_id", *(F.col(f"_{k}").alias(k) for k in KINDS),
         F.coalesce("_term", F.array().cast(_SPAN)).alias("term"),
@@ -241,7 +322,7 @@ def digests(found: DataFrame) -> DataFrame:
 def sanitised(docs: DataFrame, **settings) -> DataFrame:
     """doc_id and the text with base spans as their kind in brackets, terms generalised to [TERM] or removed.
 
-    doc_id must be unique here, as texts and spans meet by it. Of overlapping spans the one that starts first counts.
+    doc_id must be unique here, as texts and spans meet by it. Overlapping spans are replaced as one, by what stands for the first.
     """
     found = spans(docs, **settings)
 
@@ -256,7 +337,9 @@ def sanitised(docs: DataFrame, **settings) -> DataFrame:
 
     def step(a: Column, m: Column) -> Column:
         cut = F.concat(a["out"], F.substring(text, a["at"] + 1, m["start"] - a["at"]), m["by"])
-        return F.when(m["start"] < a["at"], a).otherwise(F.struct(m["end"].alias("at"), cut.alias("out")))
+        return F.when(
+            m["start"] < a["at"], F.struct(F.greatest(a["at"], m["end"]).alias("at"), a["out"].alias("out"))
+        ).otherwise(F.struct(m["end"].alias("at"), cut.alias("out")))
 
     return docs.select("doc_id", "text").join(marks, "doc_id").select("doc_id", F.aggregate(
         "__marks", start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text)))

@@ -261,6 +261,39 @@ def test_telling_terms(documents):
     assert all(r.spans.endswith(f"term:{r.spans.rsplit('term:', 1)[1]}") for r in pii_sanitise.digests(found).where("n_email > 0").collect())
 
 
+def marked_terms(rows, found):
+    return {r.doc_id: {dict(rows)[r.doc_id][s.start : s.end] for s in r.term} for r in found.collect()}
+
+
+def test_terms_of_values_that_occur_once(documents):
+    """A name beside a single value is marked, exact copies add no evidence, and coarser entities carry some of their own."""
+    rows = [(i, f"the office is open on day {i % 9} in week {i} and at noon") for i in range(300)]
+    rows += [(400, "the office of Grenzmark is at a.b@c.example and open"), (401, "the office is open on day 3, see +49 30 1234567")]
+    got = marked_terms(rows, pii_sanitise.spans(documents(rows)))
+    assert got.pop(400) == {"Grenzmark", "of"} and "see" in got.pop(401) and not any(got.values())
+
+    again = rows + [(500 + i, rows[300][1]) for i in range(40)]
+    got = pii_sanitise.spans(documents(again)).collect()
+    assert {s.value for r in got if r.doc_id == 400 or r.doc_id >= 500 for s in r.term} == {"generalise"}
+
+    rows += [(600 + i, f"the office is open, Nordhaus says, on day {i % 9} at x{i}@nordhaus.example") for i in range(8)]
+    got = pii_sanitise.spans(documents(rows)).collect()
+    told = {(dict(rows)[r.doc_id][s.start : s.end], s.value) for r in got if r.doc_id >= 600 for s in r.term}
+    assert ("Nordhaus", "remove") in told and not any(r.term for r in got if r.doc_id < 400)
+
+
+def test_terms_of_any_form_at_all_places(documents):
+    long = "x" * 60
+    rows = [(i, f"we met at noon and the day was long, 我们今天开会 {i}") for i in range(300)]
+    far = " we met at noon and the day was long" * 10
+    rows += [(900, f"Li, anna77, {long} and 4711: a.b@c.example{far}, Li and anna77; 我们今天王小明开会")]
+    row = [r for r in pii_sanitise.spans(documents(rows)).collect() if r.doc_id == 900][0]
+    told = [rows[-1][1][s.start : s.end] for s in row.term]
+    assert sorted(told) == sorted(["Li", "Li", "anna77", "anna77", long, "4711", "天王", "王小", "小明", "明开"])
+    clean = {r.doc_id: r.text for r in pii_sanitise.sanitised(documents(rows)).collect()}
+    assert "王" not in clean[900] and "明" not in clean[900] and "Li" not in clean[900] and clean[0] == rows[0][1]
+
+
 def test_pii_cases(documents):
     assert pii_sanitise.digests(pii_sanitise.spans(documents([]))).count() == 0
     rows = pii_sanitise.digests(pii_sanitise.spans(documents([(1, None), (1, None), (None, "a@b.c")]))).collect()
