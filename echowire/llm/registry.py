@@ -15,6 +15,7 @@ from echowire.llm.line_dedup import OP5_SQL, op5_line_dedup
 from echowire.llm.minhash_dedup import op3_hyperminhash_dedup
 from echowire.llm.pii_sanitise import op4_pii_sanitise
 from echowire.llm.pstable_dedup import op1_pstable_dedup
+from echowire.llm.record_files import op13_record_files
 from echowire.llm.rule_quality import op8_rule_quality
 
 
@@ -30,6 +31,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_rule_quality": op8_rule_quality,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_hilbert_shards": op10_hilbert_shards,
+        "op13_record_files": op13_record_files,
     }
 
 
