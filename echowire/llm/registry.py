@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from echowire.llm.bpe_tree import op9_bpe_tree
+from echowire.llm.conversation_repair import op11_conversation_repair
 from echowire.llm.decontaminate import op6_pigeonhole_decontamination
 from echowire.llm.hilbert_shards import op10_hilbert_shards
 from echowire.llm.kernel_language import op7_kernel_language
+from echowire.llm.lexical_search import OP12_SQL, op12_pipelined_search
 from echowire.llm.license_scan import op2_license_scan
 from echowire.llm.line_dedup import OP5_SQL, op5_line_dedup
 from echowire.llm.minhash_dedup import op3_hyperminhash_dedup
@@ -31,9 +33,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_rule_quality": op8_rule_quality,
         "op9_bpe_tree": op9_bpe_tree,
         "op10_hilbert_shards": op10_hilbert_shards,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_pipelined_search": op12_pipelined_search,
         "op13_record_files": op13_record_files,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL}
+    return {"op5_line_dedup": OP5_SQL, "op12_pipelined_search": OP12_SQL}
