@@ -1,9 +1,10 @@
 """Token ids in files of length-delimited binary records, with a separate offset index.
 
 A record is the length of its payload (8 bytes), the masked CRC-32C of these bytes (4), the payload, and the masked
-CRC-32C of the payload (4), all little-endian. A payload is the doc_id (8 bytes), flags (4; 1: doc_id is null) and the
-ids (4 each). The index beside each file has 24 bytes for each record: its offset, the length of its payload and the
-ids before it in the file. So a reader can go to any record without reading those before.
+CRC-32C of the payload (4), all little-endian. A payload is the doc_id (8 bytes), flags (4) and the ids, of two bytes each
+where all fit (flag 2; flag 4: the last two bytes fill up a word), else of four; flag 1 stands for a null doc_id. The
+index beside each file has 24 bytes for each record: its offset, the length of its payload and the ids before it in
+the file. So a reader can go to any record without reading those before.
 
 Files are written by Spark tasks through a data source and named by task and attempt; a file counts only when the
 driver has listed it in the manifest after all tasks have ended, so lost executors and repeated attempts leave no
@@ -23,6 +24,7 @@ import re
 import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +49,7 @@ MANIFEST = "_manifest.json"
 END_ID = 1
 
 _HEAD = 6  # words before the ids of a record: length, its checksum, doc_id, flags
+NO_ID, NARROW, PADDED = 1, 2, 4  # flags
 _INDEX = 3  # numbers of an index entry
 #: Bytes of records that a reader holds at once, if a single record is not longer.
 READ_BYTES = 8 << 20
@@ -61,39 +64,57 @@ def _located(path: str) -> tuple[fs.FileSystem, str]:
 # ------------------------------------------------------------------------- records
 
 
-def framed(doc_ids: pa.Array, ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of the records, and where each of them starts (one more entry for the end)."""
+def framed(doc_ids: pa.Array, ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the records, where each of them starts (one more entry for the end), and how many ids each has."""
     offsets = ids.offsets.to_numpy().astype(np.int64)
     values = ids.values.to_numpy(zero_copy_only=False).astype(np.uint32)[offsets[0] : offsets[-1]]
     counts = np.diff(offsets)
-    starts = np.concatenate([[0], np.cumsum(counts + _HEAD + 1)])
+    narrow = int(values.max(initial=0)) < 1 << 16
+    filled = (counts + 1) // 2 if narrow else counts
+    starts = np.concatenate([[0], np.cumsum(filled + _HEAD + 1)])
     words, at = np.zeros(starts[-1], dtype=np.uint32), starts[:-1]
-    lengths = (4 * (counts + 3)).astype(np.uint64)
+    lengths = (4 * (filled + 3)).astype(np.uint64)
     names = doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
     low = np.uint64(0xFFFFFFFF)
     words[at], words[at + 1] = lengths & low, lengths >> np.uint64(32)
     words[at + 3], words[at + 4] = names & low, names >> np.uint64(32)
-    words[at + 5] = doc_ids.is_null().to_numpy(zero_copy_only=False)
-    words[np.repeat(at + _HEAD - (offsets[:-1] - offsets[0]), counts) + np.arange(len(values))] = values
+    no_id = doc_ids.is_null().to_numpy(zero_copy_only=False)
+    words[at + 5] = NO_ID * no_id + narrow * (NARROW + PADDED * (counts % 2))
+    cells = words.view(np.uint16) if narrow else words
+    cells[_places(at, counts, narrow)] = values
     words[at + 2] = checksums.masked(checksums.crc32c(words, at, at + 2))
     words[starts[1:] - 1] = checksums.masked(checksums.crc32c(words, at + 3, starts[1:] - 1))
-    return words, starts
+    return words, starts, counts
 
 
-def unframed(words: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[pa.Array, pa.ListArray]:
-    """doc_ids and ids of the records that start at `starts` and have `counts` ids; raises if they are damaged."""
-    ends = starts + _HEAD + counts
+def _places(starts: np.ndarray, counts: np.ndarray, narrow: np.ndarray | bool) -> np.ndarray:
+    """Where the ids of records stand, counted in half words for narrow ones."""
+    first = (starts + _HEAD) * np.where(narrow, 2, 1)
+    return np.repeat(first - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
+def unframed(words: np.ndarray, starts: np.ndarray, filled: np.ndarray) -> tuple[pa.Array, pa.ListArray]:
+    """doc_ids and ids of the records that start at `starts` and have `filled` words of ids; raises if they are damaged."""
+    ends = starts + _HEAD + filled
     long = words.astype(np.uint64)
-    if (long[starts] + (long[starts + 1] << np.uint64(32)) != 4 * (counts + 3)).any():
+    if (long[starts] + (long[starts + 1] << np.uint64(32)) != 4 * (filled + 3)).any():
         raise ValueError("the length of a record differs from its index entry")
     for first, last in ((starts, starts + 2), (starts + 3, ends)):
         if (checksums.masked(checksums.crc32c(words, first, last)) != words[last]).any():
             raise ValueError("the checksum of a record does not match")
     names = (long[starts + 3] + (long[starts + 4] << np.uint64(32))).view(np.int64)
+    flags = words[starts + 5]
+    narrow = (flags & NARROW) > 0
+    counts = np.where(narrow, 2 * filled - ((flags & PADDED) > 0), filled)
+    places = _places(starts, counts, narrow)
+    if narrow.all():
+        values = words.view(np.uint16)[places].astype(np.int32)
+    else:
+        each = np.repeat(narrow, counts)
+        values = np.where(each, words.view(np.uint16)[places], words[np.where(each, 0, places)]).astype(np.uint32).view(np.int32)
+    doc_ids = pa.array(names, pa.int64(), mask=(flags & NO_ID).astype(bool))
     offsets = np.concatenate([[0], np.cumsum(counts)])
-    values = words[np.repeat(starts + _HEAD - offsets[:-1], counts) + np.arange(offsets[-1])]
-    doc_ids = pa.array(names, pa.int64(), mask=(words[starts + 5] & 1).astype(bool))
-    return doc_ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.view(np.int32)))
+    return doc_ids, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
 
 
 # ------------------------------------------------------------------------- files
@@ -117,12 +138,11 @@ class RecordWriter(DataSourceArrowWriter):
             for batch in iterator:
                 if not batch.num_rows:
                     continue
-                words, starts = framed(batch.column("doc_id"), batch.column("ids"))
-                data.write(words.astype("<u4").tobytes())
-                counts = np.diff(starts) - _HEAD - 1
+                words, starts, counts = framed(batch.column("doc_id"), batch.column("ids"))
+                data.write(words.astype("<u4", copy=False))
                 entries = np.empty((len(counts), _INDEX), dtype="<u8")
                 entries[:, 0] = offset + 4 * starts[:-1]
-                entries[:, 1] = 4 * (counts + 3)
+                entries[:, 1] = 4 * (np.diff(starts) - 4)
                 entries[:, 2] = ids + np.cumsum(counts) - counts
                 index.write(entries.tobytes())
                 offset, ids, records = offset + 4 * int(starts[-1]), ids + int(counts.sum()), records + len(counts)
@@ -182,9 +202,8 @@ class RecordReader(DataSourceReader):
             raw = data.read_at(int(sizes.sum()), int(held[0, 0]))
         else:
             raw = b"".join(data.read_at(int(size), int(at)) for at, size in zip(held[:, 0], sizes))
-        counts = held[:, 1] // 4 - 3
         starts = (np.cumsum(sizes) - sizes) // 4
-        doc_ids, ids = unframed(np.frombuffer(raw, dtype="<u4"), starts, counts)
+        doc_ids, ids = unframed(np.frombuffer(raw, dtype="<u4"), starts, held[:, 1] // 4 - 3)
         return pa.RecordBatch.from_arrays([doc_ids, pa.array(start + held[:, 2], pa.int64()), ids], names=["doc_id", "start", "ids"])
 
 
@@ -224,20 +243,48 @@ def read_records(spark: SparkSession, path: str, seed: int | None = None) -> Dat
 # ------------------------------------------------------------------------- ids
 
 #: Words a worker remembers, and the longest of them.
-MEMORY_WORDS, MEMORY_CHARS = 400_000, 40
+MEMORY_WORDS, MEMORY_CHARS = 500_000, 40
+
+_BLANKS_APART = re.compile("[^ \t\n\r\x0b\x0c]+")
+#: White space for Python but not for the tokenizer.
+_ODD_BLANKS = re.compile("[\x1c-\x1f]")
+# Letters without marks to be composed and with one lower case: Latin, Cyrillic, Han, kana, Hangul syllables.
+_LOWER_LETTERS = "a-zß-öø-ÿа-яё一-鿿ぁ-ゖァ-ヺ가-힣"
+_SIMPLE = re.compile(f"[!-~À-ÖØ-ÞА-ЯЁ{_LOWER_LETTERS} \t\n\r\x0b\x0c]*")
+# The tokenizer's split pattern for texts of such signs, lower-cased.
+_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER_LETTERS}]+|[0-9]|[^0-9{_LOWER_LETTERS} \t\n\r\x0b\x0c]+")
+
+
+def _byte_signs() -> list[str]:
+    """The sign that byte-level pieces have for each byte: itself if it is printable Latin-1, else the next unused one."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    signs = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return [signs[b] for b in range(256)]
+
+
+class _Words(dict):
+    """Ids of words, as bytes of unsigned integers, worked out when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
 
-_WORD = re.compile("[^ \t\n\r\x0b\x0c]+")
-_PLAIN = re.compile("[!-~]+")
-# The tokenizer's split pattern for words of ASCII signs only.
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+    def __missing__(self, word: str) -> bytes:
+        found = self.make(word)
+        if len(word) <= MEMORY_CHARS:
+            if len(self) >= MEMORY_WORDS:
+                self.clear()
+            self[word] = found
+        return found
 
 
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space and never joins what it separates.
 
-    A text is cut at ASCII white space, and each word goes to the library: pieces of plain ASCII words to its model,
-    all other words through the whole tokenizer, as they are not known to be lower-cased and split alike. Words that
-    have been met are remembered. Strings of special tokens are ordinary text.
+    The pieces of texts of simple signs go to the library's model. Other texts are cut at white space, and words that are
+    not simple go through the whole tokenizer, as they are not known to be lower-cased, composed and split alike.
+    Pieces and words that have been met are remembered. Strings of special tokens are ordinary text.
     """
 
     def __init__(self, path: str):
@@ -246,36 +293,30 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = tuple(t.id for t in self.model.tokenize(piece))
-            if len(piece) <= MEMORY_CHARS:
-                if len(self.pieces) >= MEMORY_WORDS:
-                    self.pieces.clear()
-                self.pieces[piece] = found
-        return found
+        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.words, self.pieces = _Words(self._word), _Words(self._piece)
+        self.signs = _byte_signs()
 
-    def _word(self, word: str) -> tuple[int, ...]:
-        if _PLAIN.fullmatch(word):
-            ids = tuple(i for piece in _PIECE.findall(word.lower()) for i in self._piece(piece))
-        else:
-            ids = tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        if len(word) <= MEMORY_CHARS:
-            if len(self.words) >= MEMORY_WORDS:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() else "".join([self.signs[b] for b in piece.encode()])
+        return self._bytes([t.id for t in self.model.tokenize(shown)])
+
+    def _simple(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _PIECE.findall(text.lower())))
+
+    def _word(self, word: str) -> bytes:
+        if _SIMPLE.fullmatch(word):
+            return self._simple(word)
+        return self._bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
-        known = self.words
-        for word in _WORD.findall(text):
-            ids += known.get(word) or self._word(word)
-        return ids
+    def encode(self, text: str) -> np.ndarray:
+        if _SIMPLE.fullmatch(text):
+            return np.frombuffer(self._simple(text), dtype=self.kind)
+        words = _BLANKS_APART.findall(text) if _ODD_BLANKS.search(text) else text.split()
+        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype=self.kind)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}  # of this Python worker
@@ -294,7 +335,7 @@ def encode(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         encoder = _encoder(path)
 
         def run(batch: pa.RecordBatch) -> list:
-            lists = [np.array([*encoder.encode(t), end_id], dtype=np.int32) for t in strings(batch, "text")]
+            lists = [np.append(encoder.encode(t), end_id).astype(np.int32) for t in strings(batch, "text")]
             ends = pa.array(np.cumsum([0, *map(len, lists)]), pa.int32())
             return [batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(lists)))]
 

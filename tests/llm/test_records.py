@@ -38,9 +38,11 @@ def test_checksum_is_castagnoli():
 
 
 def test_frame_bytes():
-    words, starts = record_files.framed(pa.array([-2, None], pa.int64()), pa.array([[5, 6], []], pa.list_(pa.int32())))
+    doc_ids, lists = pa.array([-2, None], pa.int64()), pa.array([[5, 6, 7], []], pa.list_(pa.int32()))
+    words, starts, counts = record_files.framed(doc_ids, lists)
+    assert counts.tolist() == [3, 0]
     data = words.astype("<u4").tobytes()
-    payload = (-2).to_bytes(8, "little", signed=True) + b"\0" * 4 + (5).to_bytes(4, "little") + (6).to_bytes(4, "little")
+    payload = (-2).to_bytes(8, "little", signed=True) + (2 + 4).to_bytes(4, "little") + bytes([5, 0, 6, 0, 7, 0, 0, 0])
 
     def masked(part):
         crc = plain_crc32c(part)
@@ -49,7 +51,16 @@ def test_frame_bytes():
     length = len(payload).to_bytes(8, "little")
     assert data[: 4 * starts[1]] == length + masked(length) + payload + masked(payload)
     doc_ids, ids = record_files.unframed(words, starts[:-1], np.array([2, 0]))
-    assert doc_ids.to_pylist() == [-2, None] and ids.to_pylist() == [[5, 6], []]
+    assert doc_ids.to_pylist() == [-2, None] and ids.to_pylist() == [[5, 6, 7], []]
+
+
+def test_wide_and_narrow_records_together():
+    both = [[1, 2, 3], [], [70_000, 5], [65_535], [2**31 - 1]]
+    parts = [record_files.framed(pa.array([i], pa.int64()), pa.array([x], pa.list_(pa.int32()))) for i, x in enumerate(both)]
+    words = np.concatenate([p[0] for p in parts])
+    starts = np.cumsum([0, *(len(p[0]) for p in parts[:-1])])
+    doc_ids, ids = record_files.unframed(words, starts, np.array([len(p[0]) - 7 for p in parts]))
+    assert ids.to_pylist() == both and doc_ids.to_pylist() == list(range(5))
 
 
 @pytest.mark.parametrize("text", [
@@ -57,7 +68,18 @@ def test_frame_bytes():
     "<|endoftext|> is text", "İstanbul ǅ ß ﬁ", "x" * 5000 + " " + "é" * 5000, "don'T 'S 'Re", "١٢٣ ½ Ⅳ 1.5e-3",
 ])
 def test_ids_equal_the_library(text):
-    assert [*record_files.WordEncoder(VOCABULARY).encode(text), 1] == library_ids([text])[0]
+    assert [*record_files.WordEncoder(VOCABULARY).encode(text).tolist(), 1] == library_ids([text])[0]
+
+
+def test_ids_of_every_simple_sign_equal_the_library():
+    """Each sign that skips the library's normaliser, alone, doubled and beside others."""
+    signs = [chr(c) for c in range(0x21, 0xD7A4) if record_files._SIMPLE.fullmatch(chr(c))]
+    assert not [s for s in signs if s.isspace()]
+    words = [f"{a}{a} x{a}1{b}" for a, b in zip(signs, [*signs[7:], *signs[:7]])]
+    encoder = record_files.WordEncoder(VOCABULARY)
+    for between in ("\u2003", "\n"):  # word by word, and as a whole
+        text = between.join(words)
+        assert len(signs) > 30_000 and [*encoder.encode(text).tolist(), 1] == library_ids([text])[0]
 
 
 def test_round_trip_in_order(spark, documents, odd_rows, tmp_path):
