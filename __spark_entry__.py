@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from echowire.functions.urls import domain_of, with_canonical_url
-from echowire.operators import features, implied, ratings
+from echowire.operators import features, implied, near_texts, ratings
 from echowire.operators.figures import one_row
 from echowire.operators.similarity import similar_pairs, similarity_progress, similarity_report
 from echowire.operators.skew import attach
@@ -363,6 +363,12 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _roster(s, d), _features(s, d, "contentHash")),
         "content_implied_progress": lambda s, d: _whole_numbers(
             implied.content_progress(_roster(s, d), _features(s, d, "contentHash"))),
+        "near_text_classes": lambda s, d: near_texts.text_classes(_approved(s, d)),
+        "near_text_sets": lambda s, d: near_texts.class_sets(_approved(s, d)).drop("shingles"),
+        "near_text_pairs": lambda s, d: _rounded(
+            _whole_numbers(near_texts.near_text_pairs(_approved(s, d))), "similarity"),
+        "near_text_report": lambda s, d: _rounded(
+            near_texts.near_text_report(_approved(s, d)), "bestSimilarity"),
         "embedding_text": lambda s, d: features.article_texts(_turns(s, d).unionByName(
             _approved(s, d).withColumn("articleId", F.col("articleId") + 1_000_000_000))),
         "embedding_from_text": _letter_vectors,
@@ -454,6 +460,24 @@ urls AS (
 _KEYS = f"""keys AS (
     SELECT doc_id AS articleId, {_key_sql("split_part(text, chr(10), 1)", "text")} AS key FROM documents)"""
 
+# The five-word shingles of each class of equal texts, and the pairs of classes that share three in four of them.
+_NEAR = f"""{_KEYS},
+classes AS (SELECT key, min(articleId) AS classId, count(*) AS articles FROM keys GROUP BY key),
+words AS (
+    SELECT classId, articles, list_filter(string_split({_NORM.format("split_part(text, chr(10), 1)")} || ' '
+        || {_NORM.format("text")}, ' '), lambda w: w <> '') AS w
+    FROM classes JOIN documents ON doc_id = classId),
+sets AS (
+    SELECT classId, articles, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+        range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+    FROM words),
+shingles AS (SELECT classId, len(s) AS size, unnest(s) AS x FROM sets),
+near AS (
+    SELECT a.classId, b.classId AS otherId, count(*) AS common, a.size, b.size AS otherSize,
+        count(*) / (a.size + b.size - count(*)) AS similarity
+    FROM shingles a JOIN shingles b ON a.x = b.x AND a.classId < b.classId
+    GROUP BY a.classId, b.classId, a.size, b.size HAVING 175 * count(*) >= 75 * (a.size + b.size))"""
+
 _VECS = "vecs AS (SELECT vec_id AS articleId, embedding::DOUBLE[] AS v FROM embeddings)"
 
 _COSINE = "greatest(0.0, list_cosine_similarity({0}, {1}))"
@@ -664,6 +688,24 @@ def _article_sql() -> dict[str, str]:
         "content_implied_progress": f"""WITH {_IMPLIED_RATED}, f AS (
             SELECT count(*) AS total_pairs, {_CONTENT_FIGURES} FROM rated)
             SELECT *, {_CONTENT_PERCENT} FROM f""",
+        "near_text_classes": f"""WITH {_KEYS},
+            classes AS (SELECT key, min(articleId) AS classId, count(*) AS articles FROM keys GROUP BY key)
+            SELECT articleId, classId, articles FROM keys JOIN classes USING (key)""",
+        "near_text_sets": f"""WITH {_NEAR} SELECT classId, articles, CAST(len(s) AS BIGINT) AS size FROM sets""",
+        "near_text_pairs": f"""WITH {_NEAR}
+            SELECT n.classId, otherId, common, size, otherSize, round(similarity, 6) AS similarity, a.articles * b.articles AS pairs
+            FROM near n JOIN classes a ON a.classId = n.classId JOIN classes b ON b.classId = otherId""",
+        "near_text_report": f"""WITH {_NEAR},
+            sides AS (SELECT classId, otherId, similarity FROM near
+                UNION ALL SELECT otherId, classId, similarity FROM near),
+            links AS (SELECT l.classId, CAST(sum(articles) AS BIGINT) AS matches, max(similarity) AS best
+                FROM sides l JOIN classes c ON c.classId = l.otherId GROUP BY l.classId),
+            firsts AS (SELECT l.classId, min(otherId) AS bestId FROM sides l JOIN links k ON k.classId = l.classId
+                WHERE similarity = best GROUP BY l.classId)
+            SELECT articleId, c.classId, articles - 1 AS copies, coalesce(matches, 0) AS nearMatches, bestId,
+                round(best, 6) AS bestSimilarity
+            FROM keys JOIN classes c USING (key) LEFT JOIN links l ON l.classId = c.classId
+                LEFT JOIN firsts f ON f.classId = c.classId""",
         "embedding_text": f"""SELECT conv_id AS articleId, {turn_text} AS combinedText {first_turn}
             UNION ALL SELECT doc_id + 1000000000, {doc_text} FROM documents""",
         "embedding_from_text": f"""WITH t AS (SELECT doc_id AS articleId, {doc_text} AS t FROM documents)
