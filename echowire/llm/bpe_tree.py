@@ -1,13 +1,16 @@
 """Byte-level BPE by a monoid tree: halves are encoded on their own and joined at their border.
 
 An element is a text with its ids; joining two gives the ids of the joined text. The split pattern never matches
-across a place where white space follows another character, and its matches depend on nothing before that place. So in
-a join all tokens left of such a place in the left text and right of one in the right text provably stay. A window
-around the border is grown until it reaches such a place on both sides, or the end of the text, and only the window is
-encoded again. Decoding concatenates the bytes of both halves.
+across a place where white space follows another sign, a letter follows a digit, a digit a letter, or punctuation either of them,
+and its matches depend on nothing before that place. So in a join all tokens left of such a place in the left text and
+right of one in the right text provably stay. A window around the border is grown until it reaches such a place on
+both sides, or the end of the text, and only the window is encoded again. Decoding concatenates the bytes of both halves.
 
-Cases: a null or empty text gives no tokens. A text without white space is a window as a whole. Rows are
-independent; memory is bounded by one document and its ids. Repeated rows give repeated results.
+Leaves are short, so that all but short documents are joined; the result is the same for every leaf size.
+
+Cases: a null or empty text gives no tokens. A text without any such place (one letter on end) is a window as a whole,
+once on each level of the tree. Rows are independent; memory is bounded by one document and its ids. Repeated rows
+give repeated results.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from echowire.llm.frames import map_rows, strings, texts
 
-#: Code points of a leaf of the tree; a leaf is encoded at once.
-LEAF = 16_384
+#: Code points, or ids, of a leaf of the tree; a leaf is encoded or decoded at once.
+LEAF = 256
 #: Code points looked at on each side of a border at first.
-WINDOW = 128
+WINDOW = 24
 
-_CUT = re.compile(r"(?<=\S)[ \n\t]")
+_CUT = re.compile(
+    r"(?<=\S)[ \n\t]|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z0-9一-鿿ぁ-ゖァ-ヺ가-힣])(?=[!-/:-@\[-`{-~、。，！？；：])"
+)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,6 +50,7 @@ class Codec:
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.leaf, self.window = max(1, leaf), max(2, window)
+        self.joins = 0  # so far
 
     def encode(self, text: str) -> list[int]:
         if len(text) <= self.leaf:
@@ -56,12 +63,13 @@ class Codec:
         """Ids of left + right from the ids of both."""
         if not left or not right:
             return left_ids + right_ids
+        self.joins += 1
         start, end = self._start(left), self._end(right)
         if end == len(right):  # the right text has no stable place, so nothing of it is kept
             kept_right = []
         else:
             kept_right = right_ids[self._tokens(right_ids, right[:end]) :]
-        kept_left = left_ids[: len(left_ids) - self._tokens(left_ids[::-1], left[start:])] if start else []
+        kept_left = left_ids[: len(left_ids) - self._tokens(reversed(left_ids), left[start:])] if start else []
         return kept_left + self.encoding.encode_ordinary(left[start:] + right[:end]) + kept_right
 
     def _start(self, left: str) -> int:
@@ -87,11 +95,11 @@ class Codec:
                 return len(right)
             width *= 4
 
-    def _tokens(self, ids: list[int], part: str) -> int:
+    def _tokens(self, ids: Iterable[int], part: str) -> int:
         """How many tokens, from the first on, make up as many bytes as `part` has."""
-        size, n = len(part.encode()), 0
+        size, n, ids = len(part.encode()), 0, iter(ids)
         while size > 0:
-            size -= len(self.bytes_of[ids[n]])
+            size -= len(self.bytes_of[next(ids)])
             n += 1
         if size:
             raise AssertionError("a stable place lies inside a token")

@@ -76,6 +76,28 @@ def test_bpe_equals_the_library(codec):
         assert codec.decode(ids) == text.encode()
 
 
+def test_most_given_documents_are_joined_and_equal_the_library(spark):
+    path, pattern = bpe_tree.vocabulary()
+    codec = bpe_tree.Codec(bpe_tree.read_ranks(path), pattern)
+    joined, found = 0, spark.read.parquet(f"{SF}/documents.parquet").collect()
+    for row in found:
+        before = codec.joins
+        ids = codec.encode(row.text or "")
+        assert ids == codec.encoding.encode_ordinary(row.text or "") and codec.decode(ids).decode() == (row.text or "")
+        joined += codec.joins > before
+    assert joined > 0.8 * len(found)
+
+
+def test_bpe_places_that_stay():
+    """Borders in every place of texts made of digits, letters, punctuation and blanks."""
+    path, pattern = bpe_tree.vocabulary()
+    rng = random.Random(8)
+    codec = bpe_tree.Codec(bpe_tree.read_ranks(path), pattern, leaf=1, window=2)
+    for _ in range(150):
+        text = "".join(rng.choice(["'s", "'", "ll", "a1", "12", " ", "  ", "\n", ".", "é", "，", "中文", "_", "A", "'re", "½", "\u0301"]) for _ in range(30))
+        assert codec.encode(text) == codec.encoding.encode_ordinary(text), text
+
+
 def test_bpe_round_trip_and_digests(documents, odd_rows):
     path, pattern = bpe_tree.vocabulary()
     docs = documents(odd_rows)
