@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from echowire.llm.components import connected
@@ -249,7 +249,9 @@ def _join_block(group: pa.Table, percent: int) -> tuple[list[int], list[int]]:
         def similar(n: np.ndarray) -> np.ndarray:
             return 100 * n >= percent * (total - n)
 
-        clear = similar(common - 2)
+        # Short hashes agree by chance in sets of hundreds of thousands: that many and eight deviations, two at least.
+        chance = sizes * (len(sets[i]) / 2**32)
+        clear = similar(common - 2 - np.ceil(chance + 8 * np.sqrt(chance) - 0.5).clip(0).astype(np.int64))
         for j, sure in zip(others[similar(common + 2)], clear[similar(common + 2)]):
             a, b = root(int(component[i])), root(int(component[j]))
             if sure and a == b:
@@ -350,30 +352,47 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
-def _told_apart(docs: DataFrame) -> DataFrame:
-    """`docs` with the column __id: the doc_id or, where rows of one id have different texts, a hash of id and text."""
+def _told_apart(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`docs` with the column __id, and the ids that several rows have, a stored table.
+
+    __id is the doc_id; where rows of one id have different texts, a hash of id and text; without an id, a hash of the text.
+    Hashes are above 2**62, so that of a group a document with an id of its own stays.
+    """
     text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
-    hashed = docs.where("doc_id IS NOT NULL").select("doc_id", text_hash.alias("h"))
-    repeated = hashed.groupBy("doc_id").agg(F.min("h").alias("low"), F.max("h").alias("high")).where("low <> high")
-    repeated = stored(repeated.select(F.col("doc_id").alias("__doc"), F.lit(True).alias("__again")), "repeated-ids")
-    n = repeated.count()
-    if not n:
-        return docs.withColumn("__id", F.col("doc_id"))
-    marked = docs.join(F.broadcast(repeated) if n <= BROADCAST_IDS else repeated, F.col("doc_id") == F.col("__doc"), "left")
-    own = F.when(F.col("__again"), F.xxhash64("doc_id", text_hash)).otherwise(F.col("doc_id"))
-    return marked.withColumn("__id", own).drop("__doc", "__again")
+    counted = stored(docs.groupBy("doc_id", text_hash.alias("__hash")).agg(F.count("*").alias("n")), "ids-and-texts")
+    differing = counted.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("texts")).where("texts > 1")
+    differing = stored(differing.select(F.col("doc_id").alias("__doc"), F.lit(True).alias("__again")), "repeated-ids")
+    if differing.count() <= BROADCAST_IDS:
+        differing = F.broadcast(differing)
+
+    def named(rows: DataFrame, hashed: Column) -> DataFrame:
+        marked = rows.join(differing, F.col("doc_id") == F.col("__doc"), "left")
+        high = F.lit(1 << 62)
+        own = F.when(F.col("doc_id").isNull() | F.col("__again"), F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), hashed), high) + high)
+        own = own.otherwise(F.col("doc_id"))
+        return marked.withColumn("__id", own).drop("__doc", "__again")
+
+    copies = named(counted.where("n > 1"), F.col("__hash")).select("__id")
+    return named(docs, text_hash), stored(copies, "repeated-rows")
 
 
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each group of near duplicates, with all its columns; rows with a null id stay.
+    """One document of each group of near duplicates, with all its columns.
 
-    Rows of one id with different texts are documents of their own.
+    Rows of one id with different texts are documents of their own, and so are rows without an id. Of rows with the same
+    id and text, or without an id and with the same text, one stays.
     """
-    told = _told_apart(docs)
+    told, copies = _told_apart(docs)
     found = near_duplicates(told.select(F.col("__id").alias("doc_id"), "text"), **settings)
-    gone = found.where("doc_id IS NOT NULL AND NOT kept").select(F.col("doc_id").alias("__gone"))
-    gone = stored(gone.distinct(), "near-copies")
-    return told.join(gone, told["__id"] == gone["__gone"], "left_anti").drop("__id")
+    gone = stored(found.where("NOT kept").select(F.col("doc_id").alias("__gone")).distinct(), "near-copies")
+    left = told.join(gone, told["__id"] == gone["__gone"], "left_anti")
+    n = copies.count()
+    if n:
+        if n <= BROADCAST_IDS:
+            copies = F.broadcast(copies)
+        single = left.join(copies, "__id", "left_anti")
+        left = single.unionByName(left.join(copies, "__id", "left_semi").dropDuplicates(["__id"]))
+    return left.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op3_hyperminhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -166,7 +166,17 @@ def test_near_copies_cases(documents):
     docs = documents([(None, "a b c d e f"), (1, "a b c d e f"), (2, None), (3, "A\nB c d e  f")])
     got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in minhash_dedup.near_duplicates(docs).collect()), key=str)
     assert got == [(1, 2, 1, True), (2, 0, 2, True), (3, 2, 1, False), (None, 2, None, False)]
-    assert sorted(r.doc_id or 0 for r in minhash_dedup.drop_near_duplicates(docs).collect()) == [0, 1, 2]
+    assert sorted(r.doc_id for r in minhash_dedup.drop_near_duplicates(docs).collect()) == [1, 2]
+
+
+@pytest.mark.parametrize("broadcast", [1_000_000, 0])
+def test_one_of_all_rows_of_a_text_stays(documents, monkeypatch, broadcast):
+    monkeypatch.setattr(minhash_dedup, "BROADCAST_IDS", broadcast)
+    copies = [(1, "one text of some words"), (1, "one text of some words"), (2, "one text of some words"), (None, "one text of some words"), (None, "one text of some words")]
+    alone = [(None, "nothing else is like this row"), (None, "nothing else is like this row"), (5, "row five"), (5, "row five"), (5, "the other row five"), (None, None), (None, "")]
+    left = minhash_dedup.drop_near_duplicates(documents(copies + alone)).collect()
+    got = sorted(((r.doc_id, r.text or "") for r in left), key=str)
+    assert got == sorted([(1, copies[0][1]), (None, alone[0][1]), (5, "row five"), (5, "the other row five"), (None, "")], key=str)
 
 
 def test_estimates_are_near_the_truth():
