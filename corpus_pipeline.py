@@ -3,8 +3,8 @@
 Each stage takes (spark, docs, sf_dir), where docs is what the stage before it kept, and returns the columns of
 `documents`; the last one returns the tokens. Texts that a stage changes are changed for all stages after it.
 
-Cases: a row with a null doc_id stays in every stage that decides by id. Extra columns of docs are carried along. Empty
-tables give empty results.
+Cases: rows without a doc_id are told apart by their texts; of rows with the same id and text one stays. Extra columns of
+docs are carried along. Empty tables give empty results.
 """
 
 from __future__ import annotations
