@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from echowire.functions.urls import domain_of, with_canonical_url
-from echowire.operators import features, implied, near_texts, ratings
+from echowire.operators import date_proximity, features, implied, near_texts, ratings, state_overlap
 from echowire.operators.figures import one_row
+from echowire.operators.pivot_search import pivot_pairs
 from echowire.operators.similarity import similar_pairs, similarity_progress, similarity_report
 from echowire.operators.skew import attach
 from echowire.plans import passes, reports, runs
-from echowire.session import scratch_path
+from echowire.session import scratch_path, stored
 from echowire.sources import id_files, tables
 from echowire.sources.intake_log import LOG, load_rows, roster
 
@@ -141,6 +142,28 @@ def _label_pairs(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _part_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each part with the first of its brand."""
+    return _with_first(_table(spark, sf, "part").select(F.col("p_partkey").alias("articleId"), "p_brand"), "p_brand")
+
+
+def _part_states(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts stand for articles and the suppliers that ship them for states; written once because two joins read it."""
+    shipped = _table(spark, sf, "lineitem").select(F.col("l_partkey").alias("articleId"), F.col("l_suppkey").alias("stateId"))
+    return stored(state_overlap.state_bitmaps(shipped), "states")
+
+
+def _order_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders stand for articles with a date."""
+    dated = _table(spark, sf, "orders").select(F.col("o_orderkey").alias("articleId"), F.col("o_orderdate").alias("date"))
+    return stored(date_proximity.day_features(dated), "days")
+
+
+def _order_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each order with the first of its customer."""
+    return _with_first(_table(spark, sf, "orders").select(F.col("o_orderkey").alias("articleId"), "o_custkey"), "o_custkey")
+
+
 def _loaded(spark: SparkSession, sf: str) -> DataFrame:
     """Unscored ratings of each article with the first of its source, copies, URL, host and label."""
     pairs = ratings.insert_or_ignore(tables.empty_ratings(spark), _source_pairs(spark, sf), RUN_TS)
@@ -388,7 +411,22 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "embedding_similar_pairs": lambda s, d: _rounded(_whole_numbers(similar_pairs(
             _everyone(_vectors(s, d).select("articleId")), _vectors(s, d), THRESHOLD)).select(
             "newClass", "approvedClass", "similarity", "pairs"), "similarity"),
+        "embedding_pivot_pairs": lambda s, d: _rounded(_whole_numbers(pivot_pairs(
+            _everyone(_vectors(s, d).select("articleId")), _vectors(s, d), THRESHOLD)).select(
+            "newClass", "approvedClass", "similarity", "pairs"), "similarity"),
         "embedding_implied_progress": _implied_similarity,
+        "state_overlap": lambda s, d: _rounded(state_overlap.state_overlap(
+            _part_pairs(s, d), _part_states(s, d)), "signatureMatchState"),
+        "state_progress": lambda s, d: _rounded(state_overlap.state_progress(state_overlap.state_overlap(
+            _part_pairs(s, d), _part_states(s, d)), 0.1), "avg_overlap"),
+        "date_pair_scores": lambda s, d: _rounded(date_proximity.date_scores(
+            _order_pairs(s, d), _order_days(s, d), 365), "signatureMatchDate"),
+        "date_matches": lambda s, d: _rounded(_whole_numbers(date_proximity.day_matches(
+            _everyone(_ids(s, d, "orders", "o_orderkey")), _order_days(s, d))), "proximity"),
+        "date_report": lambda s, d: date_proximity.date_report(
+            _everyone(_ids(s, d, "orders", "o_orderkey")), _order_days(s, d)),
+        "date_progress": lambda s, d: _rounded(_whole_numbers(date_proximity.date_progress(date_proximity.day_matches(
+            _everyone(_ids(s, d, "orders", "o_orderkey")), _order_days(s, d)))), "proximity_sum"),
         "ratings_pending_count": lambda s, d: _scored(s, d, "embeddingSearch").agg(*(
             F.count_if(F.col(m).isNull()).alias(f"pending_{m}") for m in tables.METRICS)),
         "ratings_fill_pending": lambda s, d: _cells(_all_scored(s, d), *tables.METRICS),
@@ -482,6 +520,27 @@ _VECS = "vecs AS (SELECT vec_id AS articleId, embedding::DOUBLE[] AS v FROM embe
 
 _COSINE = "greatest(0.0, list_cosine_similarity({0}, {1}))"
 
+# Parts as articles, suppliers as states; pairs of each part with the first of its brand.
+_STATES = """states AS (SELECT DISTINCT l_partkey AS articleId, l_suppkey AS stateId FROM lineitem
+    WHERE l_partkey IS NOT NULL AND l_suppkey IS NOT NULL),
+counts AS (SELECT articleId, count(*) AS c FROM states GROUP BY articleId),
+every AS (SELECT p_partkey AS n, min(p_partkey) OVER (PARTITION BY p_brand) AS a FROM part WHERE p_brand IS NOT NULL),
+met AS (SELECT n, a, count(y.stateId) AS c FROM every JOIN states x ON x.articleId = n
+    LEFT JOIN states y ON y.articleId = a AND y.stateId = x.stateId GROUP BY n, a),
+overlap AS (
+    SELECT e.n AS articleIdNew, e.a AS articleIdApproved, CAST(x.c AS BIGINT) AS newStates, CAST(y.c AS BIGINT) AS approvedStates,
+        CASE WHEN x.c IS NOT NULL AND y.c IS NOT NULL THEN met.c END AS commonStates,
+        CASE WHEN x.c IS NOT NULL AND y.c IS NOT NULL THEN met.c / (x.c + y.c - met.c) END AS signatureMatchState
+    FROM every e LEFT JOIN counts x ON x.articleId = n LEFT JOIN counts y ON y.articleId = a
+        LEFT JOIN met ON met.n = e.n AND met.a = e.a WHERE e.n <> e.a)"""
+
+# Orders as articles, and days less than a week apart.
+_DAYS = """days AS (SELECT o_orderkey AS articleId, CAST(min(datediff('day', DATE '1970-01-01', o_orderdate::DATE)) AS BIGINT) AS day
+    FROM orders WHERE o_orderkey IS NOT NULL AND o_orderdate IS NOT NULL GROUP BY o_orderkey),
+classes AS (SELECT day, count(*) AS c, min(articleId) AS first FROM days GROUP BY day),
+met AS (SELECT x.day AS newDay, y.day AS approvedDay, abs(x.day - y.day) AS days, x.c AS newArticles,
+    y.c AS approvedArticles, y.first AS approvedFirst FROM classes x JOIN classes y ON abs(x.day - y.day) < 7)"""
+
 _PAIRS = f"""{_KEYS}, {_URLS},
 every_source AS (
     SELECT doc_id AS n, min(doc_id) OVER (PARTITION BY source) AS a FROM documents WHERE source IS NOT NULL),
@@ -745,6 +804,35 @@ def _article_sql() -> dict[str, str]:
                 FROM c x JOIN c y ON x.articleId <> y.articleId)
             SELECT newClass, approvedClass, round(max(c), 6) AS similarity, count(*) AS pairs
             FROM p WHERE c > {THRESHOLD} GROUP BY ALL""",
+        "embedding_pivot_pairs": f"""WITH {_VECS},
+            c AS (SELECT *, min(articleId) OVER (PARTITION BY v) AS cls FROM vecs),
+            p AS (SELECT x.cls AS newClass, y.cls AS approvedClass, {_COSINE.format("x.v", "y.v")} AS c
+                FROM c x JOIN c y ON x.articleId <> y.articleId)
+            SELECT newClass, approvedClass, round(max(c), 6) AS similarity, count(*) AS pairs
+            FROM p WHERE c > {THRESHOLD} GROUP BY ALL""",
+        "state_overlap": f"""WITH {_STATES} SELECT * REPLACE (round(signatureMatchState, 6) AS signatureMatchState) FROM overlap""",
+        "state_progress": f"""WITH {_STATES}
+            SELECT count(*) AS total_pairs, count(signatureMatchState) AS state_completed,
+                count(*) - count(signatureMatchState) AS state_pending,
+                count(*) FILTER (signatureMatchState = 1) AS equal_states,
+                count(*) FILTER (signatureMatchState > 0.1) AS high_overlap,
+                round(coalesce(avg(signatureMatchState), 0), 6) AS avg_overlap
+            FROM overlap""",
+        "date_pair_scores": f"""WITH {_DAYS},
+            every AS (SELECT o_orderkey AS n, min(o_orderkey) OVER (PARTITION BY o_custkey) AS a FROM orders WHERE o_custkey IS NOT NULL)
+            SELECT n AS articleIdNew, a AS articleIdApproved, round(greatest(0.0, 1 - abs(x.day - y.day) / 365.0::DOUBLE), 6) AS signatureMatchDate
+            FROM every LEFT JOIN days x ON x.articleId = n LEFT JOIN days y ON y.articleId = a WHERE n <> a""",
+        "date_matches": f"""WITH {_DAYS}
+            SELECT newDay, 1 AS newLoad, approvedDay, 1 AS approvedLoad, days, round(1 - days / 7.0::DOUBLE, 6) AS proximity,
+                newArticles, approvedArticles, approvedFirst, newArticles * approvedArticles AS pairs FROM met""",
+        "date_report": f"""WITH {_DAYS}
+            SELECT articleId, CAST(sum(approvedArticles) AS BIGINT) AS nearDates, min(days) AS days,
+                (list(approvedFirst ORDER BY days, approvedFirst))[1] AS nearestId
+            FROM days JOIN met ON newDay = day GROUP BY articleId""",
+        "date_progress": f"""WITH {_DAYS}
+            SELECT CAST(sum(newArticles * approvedArticles) AS BIGINT) AS near_pairs,
+                CAST(coalesce(sum(newArticles * approvedArticles) FILTER (days = 0), 0) AS BIGINT) AS same_day_pairs,
+                round(coalesce(sum((1 - days / 7.0::DOUBLE) * newArticles * approvedArticles), 0.0), 6) AS proximity_sum FROM met""",
         "embedding_implied_progress": f"""WITH {_IMPLIED_RATED}, f AS (
             SELECT count(*) AS total_pairs, {_EMBEDDING_FIGURES},
                 coalesce(round(avg(embeddingSearch), 6), 0.0) AS overall_avg_similarity,

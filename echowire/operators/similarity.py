@@ -172,7 +172,11 @@ def similarity_report(
     )
 
 
-def _block_matches(threshold: float):
+MATCHES = "newClass bigint, newLoad bigint, approvedClass bigint, approvedLoad bigint, similarity double"
+
+
+def block_matches(threshold: float):
+    """A function that compares a block of new with a block of approved classes."""
     def matches(new: pa.Table, approved: pa.Table) -> pa.Table:
         new_ids, new_loads = _ints(new, "id"), _ints(new, "load")
         approved_ids, approved_loads = _ints(approved, "id"), _ints(approved, "load")
@@ -235,8 +239,12 @@ def similar_pairs(
     """
     members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
     new, approved = (stored(c, "vector-classes") for c in vector_classes(members))
-    found = _blockwise(new, approved, _block_counts(members, block_rows), _block_matches(threshold), (
-        "newClass bigint, newLoad bigint, approvedClass bigint, approvedLoad bigint, similarity double"))
+    found = _blockwise(new, approved, _block_counts(members, block_rows), block_matches(threshold), MATCHES)
+    return article_pairs(found, members, new, approved)
+
+
+def article_pairs(found: DataFrame, members: DataFrame, new: DataFrame, approved: DataFrame) -> DataFrame:
+    """Matches of classes with the number of article pairs that each stands for, an article and itself left out."""
     # a class holds copies of one vector, so articles in both roles are paired with themselves
     both = members.where("newLoad IS NOT NULL AND approvedLoad <= newLoad AND embedding IS NOT NULL")
     both = both.groupBy(F.col("embedding").alias("vector"), "newLoad", "approvedLoad").agg(F.count("*").alias("selves"))
