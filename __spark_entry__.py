@@ -233,8 +233,10 @@ def _scored(spark: SparkSession, sf: str, metric: str) -> DataFrame:
 
 
 def _all_scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Ratings after all three passes."""
-    return ratings.rating_rows(_passed(spark, sf, *tables.METRICS))
+    """Ratings after one pass over all three metrics."""
+    made = {metric: _features(spark, sf, metric) for metric in tables.METRICS}
+    snapshot = _stored(spark, sf, made["contentHash"])
+    return passes.fill_pass(snapshot, made, scratch_path(spark, "ratings"), RUN_TS)
 
 
 def _cells(rows: DataFrame, *metrics: str) -> DataFrame:

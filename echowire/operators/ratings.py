@@ -6,7 +6,9 @@ as the next snapshot. The cost of each is linear in the rating rows given.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -102,11 +104,12 @@ def pending_with(
     return with_article_columns(rows, table, key, *columns)
 
 
-def _score(metric: str) -> Column:
+def _score(metric: str, of: Callable[[str, str], Column]) -> Column:
+    """Score of a pair; `of(name, role)` is a value of the new or the approved article."""
     if metric == "embeddingSearch":
-        return cosine_score(F.col("embeddingNew"), F.col("embeddingApproved"))
+        return cosine_score(of("embedding", "New"), of("embedding", "Approved"))
     rule = url_score if metric == "urlCheck" else content_score
-    return rule(F.col("keyNew"), F.col("keyApproved"))
+    return rule(of("key", "New"), of("key", "Approved"))
 
 
 def score_pending(
@@ -145,7 +148,7 @@ def score_pending(
 
     scorable = F.col("hasNew").isNotNull() & F.col("hasApproved").isNotNull()
     rows = [f.name for f in RATINGS.fields]
-    scored = todo.withColumn("rawScore", _score(metric)).withColumns({
+    scored = todo.withColumn("rawScore", _score(metric, lambda name, role: F.col(f"{name}{role}"))).withColumns({
         "scoredNow": scorable,
         "failedNow": scorable & F.col("rawScore").isNull(),
         metric: F.when(scorable, F.coalesce("rawScore", F.lit(0.0))),
@@ -159,6 +162,55 @@ def score_pending(
     return untouched.select(*columns).unionByName(scored.select(*columns))
 
 
+def article_values(features: dict[str, DataFrame]) -> DataFrame:
+    """articleId and, per metric, what it compares of the article; null where the metric has no row for it."""
+    parts = [
+        made.select("articleId", F.struct(*(c for c in made.columns if c != "articleId")).alias(metric))
+        for metric, made in features.items()
+    ]
+    return reduce(lambda left, right: left.join(right, "articleId", "full"), parts)
+
+
+def pending_scores(ratings: DataFrame, values: DataFrame, *keep: str) -> DataFrame:
+    """Pairs with an empty cell, the columns `keep`, and per metric of `values` (see `article_values`, a stored table) a
+    struct of score and failure, null where the cell is full or the pair cannot be scored.
+
+    All metrics are scored together, so a pair is joined with its two articles once, not once per metric.
+    """
+    metrics = [c for c in values.columns if c != "articleId"]
+    empty = reduce(Column.__or__, (F.col(m).isNull() for m in metrics))
+    unscored = ratings.where(empty)
+    todo = unscored.select(*PAIR, *keep, *(F.col(m).isNull().alias(f"__{m}") for m in metrics))
+    for role in ("New", "Approved"):
+        side = values.select(F.col("articleId").alias(f"articleId{role}"), *(F.col(m).alias(f"{m}{role}") for m in metrics))
+        todo = attach(todo, side, [f"articleId{role}"], spread=PAIR, how="left", counted=unscored)
+    for m in metrics:
+        due = F.col(f"__{m}") & F.col(f"{m}New").isNotNull() & F.col(f"{m}Approved").isNotNull()
+        raw = _score(m, lambda name, role, m=m: F.col(f"{m}{role}.{name}"))
+        todo = todo.withColumn(f"__{m}", due).withColumn(f"raw{m}", raw)
+    return todo.select(*PAIR, *keep, *(F.when(F.col(f"__{m}"), F.struct(
+        F.coalesce(f"raw{m}", F.lit(0.0)).alias("score"), F.col(f"raw{m}").isNull().alias("failed"))).alias(f"new_{m}") for m in metrics))
+
+
+def with_scores(rows: DataFrame, metrics: Sequence[str], run_ts: datetime) -> DataFrame:
+    """Rating rows whose empty cells take the scores in their columns `new_<metric>`."""
+    touched = reduce(Column.__or__, (F.col(f"new_{m}").isNotNull() for m in metrics))
+    filled = rows.withColumns({
+        **{m: F.coalesce(F.col(m), F.col(f"new_{m}.score")) for m in metrics},
+        "updatedAt": F.when(touched, timestamp_literal(run_ts)).otherwise(F.col("updatedAt")),
+    })
+    return rating_rows(filled)
+
+
+def fill_pending(ratings: DataFrame, values: DataFrame, run_ts: datetime) -> DataFrame:
+    """`ratings` with the empty cells of all metrics of `values` filled at once; what passes one by one would give."""
+    metrics = [c for c in values.columns if c != "articleId"]
+    rest = [c.name for c in RATINGS.fields if c.name not in PAIR]
+    full = reduce(Column.__and__, (F.col(m).isNotNull() for m in metrics))
+    return ratings.where(full).select(*PAIR, *rest).unionByName(
+        with_scores(pending_scores(ratings, values, *rest), metrics, run_ts))
+
+
 def rating_rows(scored: DataFrame) -> DataFrame:
     """The plain rating columns of a scored snapshot."""
     return scored.select(*(f.name for f in RATINGS.fields))

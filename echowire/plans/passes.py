@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from echowire.functions.vectors import Encoder
 from echowire.operators import features as made
-from echowire.operators.ratings import insert_or_ignore, score_pending
+from echowire.operators.ratings import article_values, fill_pending, insert_or_ignore, score_pending
 from echowire.session import stored
 from echowire.sources.tables import write_snapshot
 
@@ -42,6 +42,12 @@ def metric_pass(
     return write_snapshot(scored, out)
 
 
+def fill_pass(ratings: DataFrame, features: dict[str, DataFrame], out: str, run_ts: datetime) -> DataFrame:
+    """Next snapshot with the empty cells of several metrics filled from their feature tables, in one pass over the pairs."""
+    values = stored(article_values(features), "article-values")
+    return write_snapshot(fill_pending(ratings, values, run_ts), out)
+
+
 def url_pass(ratings: DataFrame, articles: DataFrame, out: str, run_ts: datetime, **how) -> DataFrame:
     features = stored(made.url_features(articles), "url-features")
     return metric_pass(ratings, "urlCheck", features, out, run_ts, **how)

@@ -2,6 +2,7 @@ from datetime import datetime, timezone
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from echowire.operators import features, ratings as R
 from echowire.plans import passes, reports
@@ -55,6 +56,26 @@ def test_three_passes_over_stored_snapshots(spark, approved, encoder, tmp_path):
     assert (status.completion_percentage, status.content_completion_percentage) == (80.0, 80)
 
 
+def test_one_pass_fills_what_three_would(spark, approved, encoder, tmp_path):
+    articles = spark.createDataFrame([(i, f"http://www.x.com/{i % 2}/") for i in range(1, 5)] + [(6, None)], tables.ARTICLES)
+    vectors = spark.createDataFrame(
+        [(1, [1.0, 2.0]), (2, [2.0, 4.0]), (3, None), (4, [1.0]), (6, [0.0, 1.0])], tables.VECTORS)
+    pairs = spark.createDataFrame(
+        [(n, a) for n in (1, 2, 6) for a in range(1, 8)], "articleIdNew bigint, articleIdApproved bigint")
+    rows = R.insert_or_ignore(tables.empty_ratings(spark), pairs, T0)
+    some = F.when(F.col("articleIdApproved") == 2, 0.25)
+    rows = passes.write_snapshot(rows.withColumns({"contentHash": some, "urlCheck": F.when(F.col("articleIdNew") == 6, 0.5)}), str(tmp_path / "v0"))
+    later = datetime(2024, 3, 1, tzinfo=timezone.utc)
+    step = passes.url_pass(rows, articles, str(tmp_path / "v1"), later)
+    step = passes.content_pass(R.rating_rows(step), approved, str(tmp_path / "v2"), later)
+    step = passes.embedding_pass(R.rating_rows(step), vectors, str(tmp_path / "v3"), later)
+    made = {"urlCheck": features.url_features(articles), "contentHash": features.content_features(approved),
+            "embeddingSearch": features.vector_features(vectors)}
+    whole = passes.fill_pass(rows, made, str(tmp_path / "v4"), later)
+    assert whole.columns == R.rating_rows(step).columns
+    assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, R.rating_rows(step).collect()), key=repr)
+
+
 def test_features_are_extended_not_recomputed(spark):
     def rows(*items):
         return spark.createDataFrame(list(items), tables.ARTICLES)
