@@ -22,7 +22,7 @@ from echowire.operators.similarity import similar_pairs, similarity_progress, si
 from echowire.operators.skew import attach
 from echowire.plans import passes, reports, runs
 from echowire.session import scratch_path, stored
-from echowire.sources import id_files, tables
+from echowire.sources import id_files, snapshots, tables
 from echowire.sources.intake_log import LOG, load_rows, roster
 
 try:  # the corpus operators are optional: without them the other queries work alike
@@ -203,6 +203,16 @@ def _passed(spark: SparkSession, sf: str, *metrics: str, limit: int | None = Non
     return snapshot
 
 
+def _bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratings loaded in two steps and filled, each a bucketed snapshot."""
+    made = {metric: _features(spark, sf, metric) for metric in tables.METRICS}
+    pairs = ratings.insert_or_ignore(tables.empty_ratings(spark), _source_pairs(spark, sf), RUN_TS)
+    first = snapshots.write_bucketed(snapshots.bucketed(pairs, 8), scratch_path(spark, "bucketed"), 8)
+    more = _with_first(made["contentHash"], "key").unionByName(_url_pairs(spark, sf)).unionByName(_label_pairs(spark, sf))
+    whole = passes.bucketed_load(first, more, scratch_path(spark, "bucketed"), RUN_TS, 8)
+    return passes.bucketed_fill(whole, made, scratch_path(spark, "bucketed"), RUN_TS, 8)
+
+
 def _limited(spark: SparkSession, sf: str) -> DataFrame:
     """Scores after a pass over at most 100 pairs."""
     return _cells(_passed(spark, sf, "contentHash", limit=100), "contentHash")
@@ -432,6 +442,7 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ratings_pending_count": lambda s, d: _scored(s, d, "embeddingSearch").agg(*(
             F.count_if(F.col(m).isNull()).alias(f"pending_{m}") for m in tables.METRICS)),
         "ratings_fill_pending": lambda s, d: _cells(_all_scored(s, d), *tables.METRICS),
+        "ratings_bucketed_fill": lambda s, d: _cells(_bucketed(s, d), *tables.METRICS),
         "ratings_composite": lambda s, d: _rounded(ratings.composite_scores(
             _all_scored(s, d), WEIGHTS), "score", "scoreWeighted"),
         "ratings_recompute": _recomputed,
@@ -845,6 +856,8 @@ def _article_sql() -> dict[str, str]:
             FROM rated""",
         "ratings_fill_pending": f"""WITH {_RATED} SELECT articleIdNew, articleIdApproved, urlCheck,
             contentHash, round(embeddingSearch, 6) AS embeddingSearch FROM rated""",
+        "ratings_bucketed_fill": f"""WITH {_RATED} SELECT articleIdNew, articleIdApproved, urlCheck,
+            contentHash, round(embeddingSearch, 6) AS embeddingSearch FROM rated""",
         "ratings_composite": f"""WITH {_RATED}, p AS (SELECT *,
                 (urlCheck IS NOT NULL)::INT AS u, (contentHash IS NOT NULL)::INT AS k,
                 (embeddingSearch IS NOT NULL)::INT AS e, coalesce(urlCheck, 0.0) AS us,

@@ -14,9 +14,18 @@ from pyspark.sql import functions as F
 
 from echowire.functions.vectors import Encoder
 from echowire.operators import features as made
-from echowire.operators.ratings import article_values, fill_pending, insert_or_ignore, score_pending
+from echowire.operators.ratings import (
+    article_values,
+    fill_pending,
+    insert_or_ignore,
+    new_ratings,
+    pending_scores,
+    score_pending,
+    with_scores,
+)
 from echowire.session import stored
-from echowire.sources.tables import write_snapshot
+from echowire.sources.snapshots import BUCKETS, bucketed, write_bucketed
+from echowire.sources.tables import PAIR, write_snapshot
 
 
 def load_pairs(ratings: DataFrame, pairs: DataFrame, out: str, run_ts: datetime) -> DataFrame:
@@ -48,6 +57,35 @@ def fill_pass(ratings: DataFrame, features: dict[str, DataFrame], out: str, run_
     return write_snapshot(fill_pending(ratings, values, run_ts), out)
 
 
+def bucketed_load(ratings: DataFrame, pairs: DataFrame, out: str, run_ts: datetime, buckets: int = BUCKETS) -> DataFrame:
+    """`load_pairs` from one bucketed snapshot to the next: only the given pairs are shuffled."""
+    return write_bucketed(bucketed_insert(ratings, pairs, run_ts, buckets), out, buckets)
+
+
+def bucketed_insert(ratings: DataFrame, pairs: DataFrame, run_ts: datetime, buckets: int = BUCKETS) -> DataFrame:
+    """`insert_or_ignore` on a bucketed snapshot; repeated pairs are reduced before they are sent to the buckets."""
+    given = stored(pairs.select(*PAIR).distinct(), "given-pairs")
+    return ratings.unionByName(new_ratings(ratings.hint("shuffle_merge"), bucketed(given, buckets), run_ts))
+
+
+def bucketed_fill(
+    ratings: DataFrame, features: dict[str, DataFrame], out: str, run_ts: datetime, buckets: int = BUCKETS
+) -> DataFrame:
+    """`fill_pass` from one bucketed snapshot to the next.
+
+    The ids of pairs with an empty cell travel to their articles' values, and scores back to the buckets; the rows of the
+    snapshot stay where they are.
+    """
+    values = stored(article_values(features), "article-values")
+    scores = stored(pending_scores(ratings, values), "pair-scores")
+    return write_bucketed(bucketed_scores(ratings, scores, list(features), run_ts), out, buckets)
+
+
+def bucketed_scores(ratings: DataFrame, scores: DataFrame, metrics: list[str], run_ts: datetime) -> DataFrame:
+    """Rows of a bucketed snapshot with `scores`, see `pending_scores`, in their empty cells."""
+    return with_scores(ratings.join(scores.hint("shuffle_merge"), list(PAIR), "left"), metrics, run_ts)
+
+
 def url_pass(ratings: DataFrame, articles: DataFrame, out: str, run_ts: datetime, **how) -> DataFrame:
     features = stored(made.url_features(articles), "url-features")
     return metric_pass(ratings, "urlCheck", features, out, run_ts, **how)

@@ -59,6 +59,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at `path`, in whichever store it names."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def remove_scratch(spark: SparkSession, path: str) -> None:
     """Delete what was written below `path`, a scratch path that nothing reads any more."""
     jvm = spark.sparkContext._jvm
