@@ -20,7 +20,7 @@ from echowire.operators.figures import one_row
 from echowire.operators.pivot_search import pivot_pairs
 from echowire.operators.similarity import similar_pairs, similarity_progress, similarity_report
 from echowire.operators.skew import attach
-from echowire.plans import passes, reports, runs
+from echowire.plans import ledger, passes, reports, runs
 from echowire.session import scratch_path, stored
 from echowire.sources import id_files, snapshots, tables
 from echowire.sources.intake_log import LOG, load_rows, roster
@@ -327,6 +327,26 @@ def _implied_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_whole_numbers(report), "avg_similarity_score", "overall_avg_similarity")
 
 
+def _ledger_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Status from the entries that two loads, a fill, an emptied column and a second fill have made."""
+    book = scratch_path(spark, "ledger")
+    made = {metric: _features(spark, sf, metric) for metric in tables.METRICS}
+    values = stored(ratings.article_values(made), "article-values")
+    held = tables.empty_ratings(spark)
+    more = _with_first(made["contentHash"], "key").unionByName(_url_pairs(spark, sf)).unionByName(_label_pairs(spark, sf))
+    for step, pairs in enumerate((_source_pairs(spark, sf), more)):
+        fresh = stored(ratings.new_ratings(held, pairs, RUN_TS), "fresh")
+        ledger.enter_insert(fresh, book, step, THRESHOLD)
+        held = held.unionByName(fresh)
+    ledger.enter_fill(stored(ratings.pending_scores(held, values), "scores"), book, 2, THRESHOLD)
+    held = stored(ratings.fill_pending(held, values, RUN_TS), "held")
+    ledger.enter_clear(spark, "contentHash", book, 3, THRESHOLD)
+    held = ratings.clear_metric(held, "contentHash", RUN_TS)
+    again = ratings.pending_scores(held, values.select("articleId", "contentHash"))
+    ledger.enter_fill(stored(again, "scores"), book, 4, THRESHOLD)
+    return ledger.status_report(spark, book, _approved(spark, sf))
+
+
 def _implied_status(spark: SparkSession, sf: str) -> DataFrame:
     ros = _roster(spark, sf)
     report = similarity_report(ros, _vectors(spark, sf), THRESHOLD)
@@ -455,6 +475,7 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "run_records": _run_records,
         "status_report": lambda s, d: _rounded(reports.status_report(
             _all_scored(s, d), _approved(s, d), THRESHOLD), "avg_similarity_score"),
+        "status_report_ledger": lambda s, d: _rounded(_ledger_status(s, d), "avg_similarity_score"),
         "status_report_implied": _implied_status,
     }
 
@@ -898,6 +919,12 @@ def _article_sql() -> dict[str, str]:
                 (SELECT count(*) FROM documents) AS approved_articles FROM rated)
             SELECT *, unique_new_articles AS csv_articles_loaded, {_URL_PERCENT}, {_CONTENT_PERCENT},
                 {_EMBEDDING_PERCENT} FROM f""",
+        "status_report_ledger": f"""WITH {_RATED}, f AS (SELECT {_URL_FIGURES}, {_CONTENT_FIGURES},
+                {_EMBEDDING_FIGURES}, count(DISTINCT articleIdNew) AS unique_new_articles,
+                count(DISTINCT articleIdApproved) AS unique_approved_articles,
+                (SELECT count(*) FROM documents) AS approved_articles FROM rated)
+            SELECT *, unique_new_articles AS csv_articles_loaded, {_URL_PERCENT}, {_CONTENT_PERCENT},
+                {_EMBEDDING_PERCENT} FROM f""",
         "status_report_implied": f"""WITH {_IMPLIED_RATED}, f AS (SELECT {_URL_FIGURES},
                 {_CONTENT_FIGURES}, {_EMBEDDING_FIGURES},
                 coalesce(round(avg(embeddingSearch), 6), 0.0) AS overall_avg_similarity,
