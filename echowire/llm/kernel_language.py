@@ -92,12 +92,32 @@ def held_out(column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % 4 == 2, F.lit(False))
 
 
+def picked_ids(known: DataFrame, per_language: int) -> DataFrame:
+    """doc_id, lang and place of the first `per_language` ids of each language by hash.
+
+    Ids are passed over in the tasks that read them unless their hash lies in the lowest part that should hold half as many
+    again as are wanted, so few are shuffled and ranked. A language that has too few there, as its ids repeat, is
+    taken whole instead.
+    """
+    ids, spark = known.select("doc_id", "lang"), known.sparkSession
+    shares = {r["lang"]: min(1.0, (1.5 * per_language + 100) / r["count"]) for r in ids.groupBy("lang").count().collect()}
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    while True:
+        # one row per language, as in the model
+        limits = spark.createDataFrame([(n, -(2.0**63) + x * 2.0**64) for n, x in shares.items()], "lang string, below double")
+        low = ids.join(F.broadcast(limits), "lang").where(F.xxhash64("doc_id").cast("double") <= F.col("below"))
+        placed = stored(low.select("doc_id", "lang").distinct(), "language-ids")
+        counts = {r["lang"]: r["count"] for r in placed.groupBy("lang").count().collect()}
+        short = [n for n, x in shares.items() if x < 1 and counts.get(n, 0) < per_language]
+        if not short:
+            return placed.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_language)
+        shares |= dict.fromkeys(short, 1.0)
+
+
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
     """A model of the languages of documents that are not held out; None without any."""
     known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order))
-    picked = stored(picked.where(F.col("place") <= per_language), "language-sample")
+    picked = stored(picked_ids(known, per_language), "language-sample")
     sample = known.select("doc_id", "text").join(picked, "doc_id")
     sample = stored(sample.select("lang", "place", "text"), "language-texts")
 

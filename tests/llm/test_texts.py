@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from echowire.llm import bpe_tree, kernel_language, license_scan, rule_quality
@@ -117,6 +118,17 @@ def test_bpe_round_trip_and_digests(documents, odd_rows):
     assert sorted(bytes(r.bytes).decode() for r in back.collect()) == sorted(t or "" for _, t in odd_rows)
 
 
+def test_language_sample_is_the_first_by_hash(spark):
+    """Many ids, few ids, and ids that repeat so often that their part of the hashes is too small."""
+    rows = [(i, "many") for i in range(4000)] + [(i, "few") for i in range(5000, 5030)] + [(i % 60, "repeated") for i in range(3000)]
+    known = spark.createDataFrame(rows, "doc_id long, lang string").repartition(4)
+    got = sorted(rows_of(kernel_language.picked_ids(known, 50), "lang", "place", "doc_id"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    plain = known.distinct().withColumn("place", F.row_number().over(order)).where("place <= 50")
+    assert got == sorted(rows_of(plain, "lang", "place", "doc_id"))
+    assert [sum(g[0] == n for g in got) for n in ("few", "many", "repeated")] == [30, 50, 50]
+
+
 def test_language_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     found = kernel_language.predicted(docs, kernel_language.train(docs)).join(docs.select("doc_id", "lang"), "doc_id")
