@@ -60,6 +60,20 @@ def test_license_tags(documents):
     assert row.labels == "spdx:gpl-2.0,spdx:mit" and row.expressions == ["mit gpl-2.0 or"] and row.accepted
 
 
+def test_license_ids_are_looked_up(documents):
+    texts = {
+        1: "SPDX-License-Identifier: see the file", 2: "the creative commons of ideas", 3: "SPDX-License-Identifier: (GPL-2.0+ WITH Classpath-exception-2.0)",
+        4: "SPDX-License-Identifier: LicenseRef-Own AND Nothing-1.0", 5: "SPDX-License-Identifier: MIT WITH made-up", 6: "SPDX-License-Identifier: (MIT",
+    }
+    found = {r.doc_id: r for r in license_scan.license_scan(documents(list(texts.items()))).collect()}
+    assert (found[1].labels, found[1].score, found[1].accepted) == ("spdx:unknown", 0.2, False)
+    assert (found[2].labels, found[2].score) == ("cc", 0.3)
+    assert found[3].labels == "spdx:gpl-2.0+" and found[3].score == 0.95
+    assert found[4].labels == "spdx:licenseref-own,spdx:unknown"
+    assert found[5].labels == "spdx:mit,spdx:unknown" and found[5].accepted
+    assert (found[6].labels, found[6].accepted) == ("spdx:invalid", None)
+
+
 @pytest.fixture(scope="module")
 def codec():
     path, pattern = bpe_tree.vocabulary()
