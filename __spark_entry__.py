@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from echowire.functions.urls import domain_of, with_canonical_url
 from echowire.operators import date_proximity, features, implied, near_texts, ratings, state_overlap
 from echowire.operators.figures import one_row
-from echowire.operators.pivot_search import pivot_pairs
+from echowire.operators.pivot_search import high_report, pivot_pairs
 from echowire.operators.similarity import similar_pairs, similarity_progress, similarity_report
 from echowire.operators.skew import attach
 from echowire.plans import ledger, passes, reports, runs
@@ -446,6 +446,8 @@ def _article_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "embedding_pivot_pairs": lambda s, d: _rounded(_whole_numbers(pivot_pairs(
             _everyone(_vectors(s, d).select("articleId")), _vectors(s, d), THRESHOLD)).select(
             "newClass", "approvedClass", "similarity", "pairs"), "similarity"),
+        "embedding_high_report": lambda s, d: _rounded(high_report(
+            _everyone(_vectors(s, d).select("articleId")), _vectors(s, d), THRESHOLD), "best"),
         "embedding_implied_progress": _implied_similarity,
         "state_overlap": lambda s, d: _rounded(state_overlap.state_overlap(
             _part_pairs(s, d), _part_states(s, d)), "signatureMatchState"),
@@ -838,6 +840,11 @@ def _article_sql() -> dict[str, str]:
                 FROM c x JOIN c y ON x.articleId <> y.articleId)
             SELECT newClass, approvedClass, round(max(c), 6) AS similarity, count(*) AS pairs
             FROM p WHERE c > {THRESHOLD} GROUP BY ALL""",
+        "embedding_high_report": f"""WITH {_VECS}, p AS (
+                SELECT x.articleId, y.articleId AS other, {_COSINE.format("x.v", "y.v")} AS c FROM vecs x, vecs y)
+            SELECT articleId, count(*) AS high, round(max(c), 6) AS best,
+                (list(other ORDER BY round(c, 12) DESC, other))[1] AS bestId
+            FROM p WHERE c > {THRESHOLD} GROUP BY articleId""",
         "embedding_pivot_pairs": f"""WITH {_VECS},
             c AS (SELECT *, min(articleId) OVER (PARTITION BY v) AS cls FROM vecs),
             p AS (SELECT x.cls AS newClass, y.cls AS approvedClass, {_COSINE.format("x.v", "y.v")} AS c

@@ -34,7 +34,8 @@ from echowire.functions.numbers import pair_product, pair_sum
 from echowire.functions.vectors import lengths_of, matrix_of
 from echowire.operators.implied import members_of
 from echowire.operators.ratings import HIGH_SIMILARITY
-from echowire.operators.similarity import BLOCK_BYTES, MATCHES, article_pairs, block_matches, vector_classes
+from echowire.operators.similarity import BLOCK_BYTES, MATCHES, article_pairs, block_matches, classed, vector_classes
+from echowire.operators.skew import attach
 from echowire.session import stored
 
 # The task functions travel with their helpers, so executors need not have this package.
@@ -183,12 +184,8 @@ def _by_cell(numbers: dict[int, int]) -> Column:
     return F.create_map(*(F.lit(x) for pair in numbers.items() for x in pair)).cast("map<int,int>")[F.col("cell")]
 
 
-def pivot_pairs(
-    roster: DataFrame, vectors: DataFrame, threshold: float = HIGH_SIMILARITY, pivots: int = PIVOTS, block_rows: int | None = None
-) -> DataFrame:
-    """The rows of `similar_pairs`, by the search described above; the threshold must not be negative."""
-    members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
-    new, approved = (stored(c, "vector-classes") for c in vector_classes(members))
+def _matches(new: DataFrame, approved: DataFrame, threshold: float, pivots: int, block_rows: int | None) -> DataFrame:
+    """Pairs of classes above the threshold."""
     routed, placed = _search(new, approved, threshold, pivots, block_rows)
     sent = routed.select("id", "load", "vector", F.explode("targets").alias("to")).select("id", "load", "vector", "to.*")
     # All blocks of a cell get the same new classes, which are cut too, so no task holds more than a block of each side.
@@ -199,7 +196,37 @@ def pivot_pairs(
     left = sent.withColumn("newBlock", F.pmod(F.xxhash64("id"), cuts).cast("int"))
     right = placed.where(cuts.isNotNull()).withColumn("newBlock", F.explode(F.sequence(F.lit(0), cuts - 1)))
     cogrouped = left.groupBy(*keys).cogroup(right.groupBy(*keys))
-    return article_pairs(cogrouped.applyInArrow(block_matches(threshold), MATCHES), members, new, approved)
+    return cogrouped.applyInArrow(block_matches(threshold), MATCHES)
+
+
+def pivot_pairs(
+    roster: DataFrame, vectors: DataFrame, threshold: float = HIGH_SIMILARITY, pivots: int = PIVOTS, block_rows: int | None = None
+) -> DataFrame:
+    """The rows of `similar_pairs`, by the search described above; the threshold must not be negative."""
+    members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
+    new, approved = (stored(c, "vector-classes") for c in vector_classes(members))
+    return article_pairs(_matches(new, approved, threshold, pivots, block_rows), members, new, approved)
+
+
+def high_report(
+    roster: DataFrame, vectors: DataFrame, threshold: float = HIGH_SIMILARITY, pivots: int = PIVOTS, block_rows: int | None = None
+) -> DataFrame:
+    """Each new article with a score above the threshold: how many it has (`high`, itself included), the best, and its lowest id.
+
+    These are the columns of `similarity_report` that need no score at or below the threshold.
+    """
+    members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
+    new, approved = (stored(c, "vector-classes") for c in vector_classes(members))
+    sizes = approved.select(F.col("id").alias("approvedClass"), F.col("load").cast("bigint").alias("approvedLoad"), "articles")
+    found = _matches(new, approved, threshold, pivots, block_rows).join(sizes, ["approvedClass", "approvedLoad"])
+    figures = found.groupBy(F.col("newClass").alias("classId"), "newLoad").agg(
+        F.sum("articles").alias("high"),
+        F.max(F.struct(F.round("similarity", 12).alias("rank"), (-F.col("approvedClass")).alias("minusId"), "similarity")).alias("top"),
+    )
+    of_class = classed(members, new, "newLoad").select("articleId", "classId", F.col("newLoad").cast("bigint").alias("newLoad"))
+    many = new.select(F.col("id").alias("classId"), F.col("load").cast("bigint").alias("newLoad"), F.col("articles").alias("n"))
+    report = attach(of_class, figures.join(many, ["classId", "newLoad"]), ["classId", "newLoad"], ["articleId"], size="n")
+    return report.select("articleId", "high", F.col("top.similarity").alias("best"), (-F.col("top.minusId")).alias("bestId"))
 
 
 def pivot_shares(

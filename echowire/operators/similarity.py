@@ -25,6 +25,7 @@ from echowire.functions.vectors import lengths_of, matrix_of
 from echowire.operators.figures import embedding_percentages, one_row
 from echowire.operators.implied import members_of, pair_count
 from echowire.operators.ratings import HIGH_SIMILARITY
+from echowire.operators.skew import attach
 from echowire.session import stored
 
 # The task function travels with its helpers, so executors need not have this package.
@@ -221,14 +222,19 @@ def vector_classes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
 def class_members(roster: DataFrame, vectors: DataFrame) -> DataFrame:
     """articleId, role, load, classId: which articles a class of `similar_pairs` stands for."""
     members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
-    sides = []
-    for role, load, classes in zip(("new", "approved"), ("newLoad", "approvedLoad"), vector_classes(members)):
-        keyed = classes.select(F.col("vector").alias("embedding"), F.col("load").alias(load), F.col("id").alias("classId"))
-        sides.append(members.join(keyed, ["embedding", load]).select(
-            "articleId", F.lit(role).alias("role"), F.col(load).alias("load"), "classId"))
+    sides = [
+        classed(members, classes, f"{role}Load").select("articleId", F.lit(role).alias("role"), F.col(f"{role}Load").alias("load"), "classId")
+        for role, classes in zip(("new", "approved"), vector_classes(members))
+    ]
     return sides[0].unionByName(sides[1])
 
 
+def classed(members: DataFrame, classes: DataFrame, load: str) -> DataFrame:
+    """Members with the given load and the class they belong to; a vector that many share is served by broadcast."""
+    keyed = classes.select(F.col("vector").alias("embedding"), F.col("load").alias(load), F.col("id").alias("classId"), "articles")
+    return attach(members.where(F.col(load).isNotNull()), keyed, ["embedding", load], ["articleId"], size="articles")
+
+
 def similar_pairs(
     roster: DataFrame, vectors: DataFrame, threshold: float = HIGH_SIMILARITY, block_rows: int | None = None
 ) -> DataFrame:

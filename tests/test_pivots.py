@@ -2,8 +2,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from echowire.operators.pivot_search import choose_pivots, pivot_pairs, pivot_shares
-from echowire.operators.similarity import similar_pairs, vector_classes
+from echowire.operators.pivot_search import choose_pivots, high_report, pivot_pairs, pivot_shares
+from echowire.operators.similarity import class_members, similar_pairs, similarity_report, vector_classes
 
 KEYS = ("newClass", "newLoad", "approvedClass", "approvedLoad")
 
@@ -38,6 +38,26 @@ def test_pairs_equal_the_full_search(spark, threshold, pivots, block_rows):
     assert expected and rows(pivot_pairs(roster, vectors, threshold, pivots, block_rows)) == expected
 
 
+def test_high_counts_equal_the_report(spark):
+    roster, vectors = frames(spark, groups(8, groups=5) + ODD)
+    got = {r.articleId: (r.high, round(r.best, 9), r.bestId) for r in high_report(roster, vectors, 0.9, 8).collect()}
+    full = similarity_report(roster, vectors, 0.9).where("high > 0").collect()
+    assert got == {r.articleId: (r.high, round(r.best, 9), r.bestId) for r in full} and len(got) > 50
+
+
+def test_members_of_a_shared_vector(spark, monkeypatch):
+    monkeypatch.setattr("echowire.operators.skew.HOT_KEYS", 1)
+    roster, vectors = frames(spark, [[1.0, 0.0]] * 40 + [[0.0, 1.0]] * 5 + [None])
+    rows_ = class_members(roster, vectors).collect()
+    assert {(r.role, r.load, r.articleId): r.classId for r in rows_} == {
+        (role, load, i): min(j for j in range(45) if (j < 40) == (i < 40) and loads(j)[role] == load)
+        for i in range(45) for role, load in loads(i).items() if load}
+
+
+def loads(i):
+    return {"new": i % 2 + 1 if i % 3 else None, "approved": 1 if i % 3 != 1 else None}
+
+
 def test_a_dimension_without_pivots(spark, monkeypatch):
     monkeypatch.setattr("echowire.operators.pivot_search.SAMPLE", 3)
     roster, vectors = frames(spark, groups(3) + groups(4, dimension=7, each=5))
