@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -118,28 +119,33 @@ def _with_first(rows: DataFrame, group: str) -> DataFrame:
     return pairs.where("articleIdNew <> articleIdApproved")
 
 
-def _source_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return _with_first(
-        _table(spark, sf, "documents").select(F.col("doc_id").alias("articleId"), "source"), "source"
-    )
+def _with_firsts(*groups: tuple[DataFrame, str]) -> DataFrame:
+    """Pairs as above for several tables and groups, found in one join."""
+    rows = [
+        table.select("articleId", F.concat(F.lit(f"{i}:"), F.col(group).cast("string")).alias("group"))
+        for i, (table, group) in enumerate(groups)
+    ]
+    return _with_first(reduce(DataFrame.unionByName, rows), "group")
 
 
-def _copy_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return _with_first(_features(spark, sf, "contentHash"), "key")
+def _sources(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    return _table(spark, sf, "documents").select(F.col("doc_id").alias("articleId"), "source"), "source"
 
 
-def _url_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Each page with the first of its canonical URL and the first of its host."""
+def _others(spark: SparkSession, sf: str, keys: DataFrame) -> list[tuple[DataFrame, str]]:
+    """Articles by content key, canonical URL, host, and label of their vector."""
     urls = with_canonical_url(_articles(spark, sf)).select(
         F.col("id").alias("articleId"), "canonicalUrl", domain_of("canonicalUrl").alias("host"))
-    return _with_first(urls, "canonicalUrl").unionByName(_with_first(urls, "host"))
+    labels = _table(spark, sf, "embeddings").select(F.col("vec_id").alias("articleId"), "label")
+    return [(keys, "key"), (urls, "canonicalUrl"), (urls, "host"), (labels, "label")]
 
 
-def _label_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """Each vector with the first of its label."""
-    return _with_first(
-        _table(spark, sf, "embeddings").select(F.col("vec_id").alias("articleId"), "label"), "label"
-    )
+def _source_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return _with_first(*_sources(spark, sf))
+
+
+def _copy_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return _with_first(_features(spark, sf, "contentHash"), "key")
 
 
 def _part_pairs(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,7 +173,7 @@ def _order_pairs(spark: SparkSession, sf: str) -> DataFrame:
 def _loaded(spark: SparkSession, sf: str) -> DataFrame:
     """Unscored ratings of each article with the first of its source, copies, URL, host and label."""
     pairs = ratings.insert_or_ignore(tables.empty_ratings(spark), _source_pairs(spark, sf), RUN_TS)
-    more = _copy_pairs(spark, sf).unionByName(_url_pairs(spark, sf)).unionByName(_label_pairs(spark, sf))
+    more = _with_firsts(*_others(spark, sf, _features(spark, sf, "contentHash")))
     return ratings.insert_or_ignore(pairs, more, RUN_TS)
 
 
@@ -182,9 +188,8 @@ def _features(spark: SparkSession, sf: str, metric: str) -> DataFrame:
 
 def _stored(spark: SparkSession, sf: str, keys: DataFrame | None = None) -> DataFrame:
     """The same ratings, loaded at once, as a snapshot, which is what a pass reads."""
-    copies = _copy_pairs(spark, sf) if keys is None else _with_first(keys, "key")
-    pairs = _source_pairs(spark, sf).unionByName(copies)
-    pairs = pairs.unionByName(_url_pairs(spark, sf)).unionByName(_label_pairs(spark, sf))
+    keys = _features(spark, sf, "contentHash") if keys is None else keys
+    pairs = _with_firsts(_sources(spark, sf), *_others(spark, sf, keys))
     return passes.load_pairs(
         tables.empty_ratings(spark), pairs, scratch_path(spark, "ratings"), RUN_TS
     )
@@ -208,7 +213,7 @@ def _bucketed(spark: SparkSession, sf: str) -> DataFrame:
     made = {metric: _features(spark, sf, metric) for metric in tables.METRICS}
     pairs = ratings.insert_or_ignore(tables.empty_ratings(spark), _source_pairs(spark, sf), RUN_TS)
     first = snapshots.write_bucketed(snapshots.bucketed(pairs, 8), scratch_path(spark, "bucketed"), 8)
-    more = _with_first(made["contentHash"], "key").unionByName(_url_pairs(spark, sf)).unionByName(_label_pairs(spark, sf))
+    more = _with_firsts(*_others(spark, sf, made["contentHash"]))
     whole = passes.bucketed_load(first, more, scratch_path(spark, "bucketed"), RUN_TS, 8)
     return passes.bucketed_fill(whole, made, scratch_path(spark, "bucketed"), RUN_TS, 8)
 
@@ -333,7 +338,7 @@ def _ledger_status(spark: SparkSession, sf: str) -> DataFrame:
     made = {metric: _features(spark, sf, metric) for metric in tables.METRICS}
     values = stored(ratings.article_values(made), "article-values")
     held = tables.empty_ratings(spark)
-    more = _with_first(made["contentHash"], "key").unionByName(_url_pairs(spark, sf)).unionByName(_label_pairs(spark, sf))
+    more = _with_firsts(*_others(spark, sf, made["contentHash"]))
     for step, pairs in enumerate((_source_pairs(spark, sf), more)):
         fresh = stored(ratings.new_ratings(held, pairs, RUN_TS), "fresh")
         ledger.enter_insert(fresh, book, step, THRESHOLD)
