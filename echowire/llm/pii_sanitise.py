@@ -6,20 +6,24 @@ linear time. Positions follow from the lengths of the parts between matches and
 
 Terms of a text may give a value away even when the span is removed. Each distinct value is a protected entity, and so are
 its coarser parts: the kind, the domain of an e-mail, the first digits of a phone or card number, the network of an ip. For
-a term t and an entity e the corpus gives P(e) (texts with e), P(e|t) (texts with both out of those with t, drawn towards
-P(e) as if PRIOR more texts had been seen) and the disclosure log(P(e|t) / P(e)) / log(1 / P(e)): the part of the
-information of e that t reveals, from 0 (none) to 1 (all). Every pair seen is scored. Terms are generalised from GENERALISE
-on and removed from REMOVE on, at all their places in the documents with that entity. A term is a run of letters and digits of
-any length outside the spans; in scripts written without blanks, each two signs in a row.
+a term t and an entity e the corpus gives P(e) (texts with e, but FLOOR at least) and P(e|t) (texts with both out of those
+with t), of which the lower Wilson bound at TRUST standard deviations counts: what a few texts show is trusted less than
+what many do. The disclosure is 1 - log(bound) / log(P(e)), the part of the information of e that t reveals, and 0 where that
+is negative. FLOOR makes it depend on the texts with t alone once an entity is rare, so the same evidence weighs the same
+in a table of any size; one text is never enough for a claim. Terms are generalised from GENERALISE on and
+removed from REMOVE on, at all their places in the documents with that entity. A value that occurs in one text is protected
+through its parts, whose counts other values share. A term is a run of letters and digits of any length
+outside the spans; in scripts written without blanks, each two signs in a row.
 
 Equal texts count once: each row weighs one divided by the copies of its text. Entities of the same rows have the same counts
-and are scored as one class. P(e|t) has an upper bound that follows from the texts with t alone, so pairs that
-cannot reach GENERALISE are left out before they are counted, without a change to the result.
+and are scored as one class. The bound lies below the plain share, and rises with the texts for one share: terms in too many texts
+for an entity and terms or entities in too few cannot reach GENERALISE. They are left out before they are paired,
+without a change to the result.
 
-Only ids, spans and terms are shuffled, never texts; counts are aggregated before each shuffle. Documents are counted
-over the whole table.
+Of texts only those with spans are shuffled, with their row ids; counts are aggregated before each shuffle. Documents are
+counted over the whole table.
 
-Cases: a null or empty text has no spans. Repeated rows are documents of their own. Positions count code points, ends are
+Cases: a null or empty text has no spans. Repeated rows and rows without an id are documents of their own. Positions count code points, ends are
 exclusive. An empty table gives no rows.
 """
 
@@ -47,8 +51,10 @@ PATTERNS = {
 }
 KINDS = tuple(PATTERNS)
 
-#: Texts with the share P(e) that are added to those with a term.
-PRIOR = 1.0
+#: Standard deviations between the share of texts with an entity and its lower bound.
+TRUST = 1.645
+#: Entities in a smaller share of texts are held to be this frequent.
+FLOOR = 0.01
 #: Repeated texts whose hashes may be broadcast; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 GENERALISE = 0.8
@@ -70,26 +76,32 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def _running(lengths: Column) -> Column:
-    """Sums of all elements before each one; blocks keep the work near linear on very long arrays."""
+def _before(values: Column, of: Callable[[Column], Column]) -> Column:
+    """`of` (a sum or a maximum that takes 0 for nothing) of all elements before each one.
 
-    def total(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+    Blocks keep the work near linear on very long arrays.
+    """
 
     def within(held: Column) -> Column:
-        values, before = held["v"], held["b"]
         at = lambda i: F.floor(i / _RUN).cast("int")
-        return F.transform(
-            values, lambda _, i: before[at(i)] + total(F.slice(values, at(i) * _RUN + 1, i % _RUN))
-        )
+        part = lambda i: F.slice(held["v"], at(i) * _RUN + 1, i % _RUN)
+        return F.transform(held["v"], lambda _, i: of(F.array(held["b"][at(i)], of(part(i)))))
+
+    def blocks(v: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.greatest(F.size(v), F.lit(1)) - 1) / _RUN).cast("int"))
+        found = F.transform(starts, lambda b: of(F.slice(v, b * _RUN + 1, F.lit(_RUN))))
+        before = _let(found, lambda x: F.transform(x, lambda _, i: of(F.slice(x, F.lit(1), i))))
+        return _let(F.struct(v.alias("v"), before.alias("b")), within)
+
+    return _let(values, blocks)
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda a, x: a + x)
 
-    def blocks(values: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.floor((F.greatest(F.size(values), F.lit(1)) - 1) / _RUN).cast("int"))
-        sums = F.transform(starts, lambda b: total(F.slice(values, b * _RUN + 1, F.lit(_RUN))))
-        before = _let(sums, lambda s: F.transform(s, lambda _, i: total(F.slice(s, F.lit(1), i))))
-        return _let(F.struct(values.alias("v"), before.alias("b")), within)
 
-    return _let(lengths, blocks)
+def _largest(values: Column) -> Column:
+    return F.coalesce(F.array_max(values), F.lit(0))
 
 
 def matches(text: Column, pattern: str, offset: Column | int = 0) -> Column:
@@ -100,8 +112,8 @@ def matches(text: Column, pattern: str, offset: Column | int = 0) -> Column:
         # lengths of the part before each match, then of the match itself
         gaps = F.split(text, pattern, -1)
         steps = F.transform(hits, lambda h, i: F.length(h))
-        starts = _let(F.struct(gaps.alias("g"), steps.alias("s")), lambda x: _running(
-            F.transform(x["s"], lambda n, i: n + F.length(x["g"][i + 1]))
+        starts = _let(F.struct(gaps.alias("g"), steps.alias("s")), lambda x: _before(
+            F.transform(x["s"], lambda n, i: n + F.length(x["g"][i + 1])), _total
         ))
         first = F.length(gaps[0])
         return _let(F.struct(starts.alias("a"), first.alias("f")), lambda x: F.transform(
@@ -170,22 +182,42 @@ def _entities(kind: str, value: Column) -> Column:
     return F.array(F.concat(F.lit(f"{kind}:"), plain), F.concat(F.lit(f"{kind}-part:"), part), F.lit(f"{kind}-any"))
 
 
-def _masked(text: Column, spans: Column) -> Column:
-    """The text with a blank for each code point of the spans, which may overlap."""
+def _replaced(text: Column, spans: Column, by: Callable[[Column, Column], Column]) -> Column:
+    """The text with each of the sorted spans, which may overlap, replaced by `by` of the span and of where it is free from.
+
+    The text is cut in blocks of spans first, as finding a place in a text takes time with its length.
+    """
+
+    def block(held: Column, b: Column) -> Column:
+        free = held["free"]
+        first, after = free[b * _RUN], F.coalesce(F.get(free, (b + 1) * _RUN), held["last"])
+        part = F.slice(held["spans"], b * _RUN + 1, F.lit(_RUN))
 
-    def cut(held: Column) -> Column:
-        def piece(s: Column, i: Column) -> Column:
-            return _let(F.greatest(F.lit(0), F.array_max(F.slice(held["ends"], F.lit(1), i))), lambda at: F.concat(
-                F.substring(text, at + 1, F.greatest(F.lit(0), s["start"] - at)),
-                F.repeat(F.lit(" "), F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], at))),
-            ))
+        def piece(cut: Column, s: Column, at: Column) -> Column:
+            return F.concat(F.substring(cut, at - first + 1, F.greatest(F.lit(0), s["start"] - at)), by(s, at))
+
+        return _let(F.substring(text, first + 1, after - first), lambda cut: F.array_join(
+            F.transform(part, lambda s, i: piece(cut, s, free[b * _RUN + i])), ""
+        ))
+
+    def whole(held: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(held["spans"]) - 1) / _RUN).cast("int"))
+        rest = F.substring(text, held["last"] + 1, F.length(text))
+        return F.concat(F.array_join(F.transform(blocks, lambda b: block(held, b)), ""), rest)
+
+    def placed(found: Column) -> Column:
+        ends = F.transform(found, lambda s: s["end"])
+        held = F.struct(found.alias("spans"), _before(ends, _largest).alias("free"), F.array_max(ends).alias("last"))
+        return F.when(F.size(found) > 0, _let(held, whole)).otherwise(text)
+
+    return _let(spans, placed)
 
-        rest = F.substring(text, F.array_max(held["ends"]) + 1, F.length(text))
-        return F.concat(F.array_join(F.transform(held["spans"], piece), ""), rest)
 
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    return _let(ordered, lambda o: _let(
-        F.struct(o.alias("spans"), F.transform(o, lambda s: s["end"]).alias("ends")), cut
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with a blank for each code point of the spans, which may overlap."""
+    places = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+    return _replaced(text, F.array_sort(places), lambda s, at: F.repeat(
+        F.lit(" "), F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], at))
     ))
 
 
@@ -226,51 +258,75 @@ def weighed(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", (1.0 / F.coalesce("__n", F.lit(1))).alias("weight"))
 
 
-def found_spans(rows: DataFrame) -> DataFrame:
-    """A row id, doc_id, weight, the base spans of each kind, their entities, and where there are any the terms; no text."""
+def found_spans(rows: DataFrame, whole: bool = False) -> DataFrame:
+    """A row id, doc_id, weight, the base spans of each kind, their entities, the hash of the text, and where there are spans
+    the terms and the text; with `whole` every text."""
     kinds = base_spans(F.col("text"))
     rows = rows.select("doc_id", "weight", "text", *(c.alias(f"_{k}") for k, c in kinds.items()))
     rows = rows.withColumn("entities", F.concat(*(_tagged(k) for k in KINDS)))
-    terms = F.when(F.size("entities") > 0, _let(_masked(F.col("text"), F.col("entities")), _places))
+    some = F.size("entities") > 0
+    terms = F.when(some, _let(_masked(F.col("text"), F.col("entities")), _places))
     names = F.array_distinct(F.flatten(F.transform("entities", lambda e: e["names"])))
-    rows = rows.withColumn("terms", terms).withColumn("entities", names)
-    return rows.drop("text").withColumn("__row", F.monotonically_increasing_id())
+    rows = rows.withColumns({
+        "terms": terms, "entities": names, "sha256": F.sha2("text", 256), "text": F.when(F.lit(whole) | some, F.col("text")),
+    })
+    return rows.withColumn("__row", F.monotonically_increasing_id())
 
 
 def _summed(weight: str = "weight") -> Column:
     return F.round(F.sum(weight)).cast("long")
 
 
+def _share(n_entity: str, n_texts: int) -> Column:
+    """P(e), FLOOR at least."""
+    return F.greatest(F.col(n_entity) / F.lit(float(n_texts)), F.lit(FLOOR))
+
+
+def _lower(hits: Column, n: Column) -> Column:
+    """The lower Wilson bound of the share of hits in n."""
+    z = TRUST * TRUST
+    p = hits / n
+    # equal to z / (n + z) below 1 where all are hits, without a root that rounding could make negative
+    spread = TRUST * F.sqrt(p * (1 - p) / n + z / (4 * n * n))
+    return (p + z / (2 * n) - spread) / (1 + z / n)
+
+
 def _row_classes(found: DataFrame, n_texts: int, generalise: float) -> DataFrame:
-    """__row, reach and classes: those entities of a row that a term may disclose, each class of equal rows once.
+    """__row, reach, need and classes: those entities of a row that a term may disclose, each class of equal rows once.
 
-    A term in more than `reach` texts cannot disclose `generalise` of the class.
+    A term in more than `reach` or in fewer than `need` texts cannot disclose `generalise` of the class.
     """
     held = found.where(F.size("entities") > 0).select("__row", "weight", F.explode("entities").alias("entity"))
     classes = held.groupBy("entity").agg(
         _summed().alias("n_entity"), F.bit_xor(F.xxhash64("__row")).alias("x"), F.bit_xor(F.xxhash64("__row", F.lit(1))).alias("y")
     )
-    p = F.col("n_entity") / F.lit(float(n_texts))
-    reach = (F.col("n_entity") + PRIOR * p) / F.pow(p, F.lit(1 - generalise)) - PRIOR
-    classes = stored(classes.where(F.col("n_entity") < n_texts).withColumn("reach", reach * (1 + 1e-9)).where("reach >= 1"), "entities")
+    # the share that a bound must reach; n / (n + z) is the bound when all n texts are hits
+    least = F.pow(_share("n_entity", n_texts), F.lit(1 - generalise))
+    classes = classes.where(F.col("n_entity") < n_texts).withColumns({
+        "reach": F.col("n_entity") / least * (1 + 1e-9), "need": TRUST * TRUST * least / (1 - least) * (1 - 1e-9),
+    })
+    classes = stored(classes.where(F.col("n_entity") >= F.col("need")), "entities")
     rows = attach(held.select("__row", "entity"), classes, ["entity"], ["__row", "entity"])
     return rows.groupBy("__row").agg(
-        F.max("reach").alias("reach"), F.collect_set(F.struct("x", "y", "n_entity", "reach")).alias("classes")
+        F.max("reach").alias("reach"), F.min("need").alias("need"),
+        F.collect_set(F.struct("x", "y", "n_entity", "reach", "need")).alias("classes"),
     )
 
 
 def term_pairs(rows: DataFrame, found: DataFrame, generalise: float) -> tuple[DataFrame, int]:
     """__row, weight, term, n_term and class (x, y, n_entity) of all terms that may disclose an entity; the number of texts."""
     n_texts = round(found.agg(F.sum("weight")).first()[0] or 0)
-    classes = _row_classes(found, n_texts, generalise)
+    classes = stored(_row_classes(found, n_texts, generalise), "classes")
     counts = rows.select("weight", F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(_summed().alias("n_term"))
-    counts = stored(counts, "term-counts")
-    held = found.where(F.size("terms") > 0).select(
-        "__row", "weight", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term")
+    least = classes.agg(F.min("need")).first()[0]
+    counts = stored(counts.where(F.col("n_term") >= (least or 0.0)), "term-counts")
+    held = found.where(F.size("terms") > 0).join(classes.drop("classes"), "__row").select(
+        "__row", "weight", "reach", "need", F.explode(F.array_distinct(F.transform("terms", lambda t: t["term"]))).alias("term")
     )
-    held = attach(held, counts, ["term"], ["__row", "term"], how="left").withColumn("n_term", F.coalesce("n_term", F.lit(0)))
-    pairs = held.join(classes, "__row").where(F.col("n_term") <= F.col("reach"))
-    fits = F.filter("classes", lambda c: F.col("n_term") <= c["reach"])
+    held = attach(held, counts, ["term"], ["__row", "term"])
+    pairs = held.where(F.col("n_term").between(F.col("need"), F.col("reach"))).drop("reach", "need")
+    pairs = pairs.join(classes.select("__row", "classes"), "__row")
+    fits = F.filter("classes", lambda c: F.col("n_term").between(c["need"], c["reach"]))
     pairs = pairs.select("__row", "weight", "term", "n_term", F.explode(fits).alias("c"))
     return pairs.select("__row", "weight", "term", "n_term", "c.x", "c.y", "c.n_entity"), n_texts
 
@@ -280,27 +336,29 @@ def disclosures(pairs: DataFrame, n_texts: int) -> DataFrame:
     rows = pairs.groupBy("term", "x", "y").agg(
         _summed().alias("n_near"), F.max("n_term").alias("n_term"), F.max("n_entity").alias("n_entity")
     )
-    p = F.col("n_entity") / F.lit(float(n_texts))
-    given = (F.col("n_near") + PRIOR * p) / (F.greatest("n_term", "n_near") + PRIOR)
-    return rows.withColumn("disclosure", 1 - F.log(given) / F.log(p))
+    bound = _lower(F.col("n_near"), F.greatest("n_term", "n_near"))
+    return rows.withColumn("disclosure", F.greatest(F.lit(0.0), 1 - F.log(bound) / F.log(_share("n_entity", n_texts))))
+
 
+def spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, whole: bool = False) -> DataFrame:
+    """doc_id, the base spans of each kind, and term spans: structs of start, end and value (the action).
 
-def spans(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
-    """doc_id, the base spans of each kind, and term spans: structs of start, end and value (the action)."""
+    Also sha256 of the text, and the text where there are spans; with `whole` every text.
+    """
     rows = weighed(docs)
-    found = stored(found_spans(rows), "spans")
+    found = stored(found_spans(rows, whole), "spans")
     pairs, n_texts = term_pairs(rows, found, generalise)
     pairs = stored(pairs, "term-pairs")
     telling = disclosures(pairs, n_texts).where(F.col("disclosure") >= generalise).select(
         "term", "x", "y", F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("action")
     )
-    told = pairs.join(telling, ["term", "x", "y"]).groupBy("__row", "term").agg(F.max("action").alias("value"))
+    told = attach(pairs, telling, ["term", "x", "y"], ["__row", "term"]).groupBy("__row", "term").agg(F.max("action").alias("value"))
     places = found.where(F.size("terms") > 0).select("__row", F.explode("terms").alias("t")).select("__row", "t.*")
     marked = places.join(told, ["__row", "term"]).groupBy("__row")
     marked = marked.agg(F.sort_array(F.collect_list(F.struct("start", "end", "value"))).alias("_term"))
     return found.join(marked, "__row", "left").select(
         "doc_id", *(F.col(f"_{k}").alias(k) for k in KINDS),
-        F.coalesce("_term", F.array().cast(_SPAN)).alias("term"),
+        F.coalesce("_term", F.array().cast(_SPAN)).alias("term"), "sha256", "text",
     )
 
 
@@ -311,39 +369,35 @@ def _listed(kinds: tuple[str, ...]) -> Column:
     return F.array_join(F.concat(*(named(k) for k in kinds)), ",")
 
 
+def _clean(found: DataFrame) -> Column:
+    """The text of a row of `spans` with base spans as their kind in brackets, terms generalised to [TERM] or removed.
+
+    Overlapping spans are replaced as one, by what stands for the first.
+    """
+
+    def marked(kind: str, by: Callable[[Column], Column]) -> Column:
+        return F.transform(found[kind], lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), by(s).alias("by")))
+
+    base = (marked(k, lambda s, name=f"[{k.upper()}]": F.lit(name)) for k in KINDS)
+    terms = marked("term", lambda s: F.when(s["value"] == "remove", "").otherwise("[TERM]"))
+    marks = F.array_sort(F.concat(*base, terms))
+    return _replaced(found["text"], marks, lambda s, at: F.when(s["start"] >= at, s["by"]).otherwise(""))
+
+
 def digests(found: DataFrame) -> DataFrame:
-    """Counts of the base kinds, the hash of the base spans, and all spans as text."""
+    """Counts of the base kinds and of all spans, hashes of the base spans and of the sanitised text, all spans as text."""
     return found.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(_listed(KINDS), 256).alias("base_sha256"), _listed((*KINDS, "term")).alias("spans"),
+        sum((F.size(k) for k in KINDS), F.size("term")).cast("long").alias("n_spans"),
+        F.coalesce(F.sha2(_clean(found), 256), "sha256").alias("sanitised_sha256"),
     )
 
 
 def sanitised(docs: DataFrame, **settings) -> DataFrame:
-    """doc_id and the text with base spans as their kind in brackets, terms generalised to [TERM] or removed.
-
-    doc_id must be unique here, as texts and spans meet by it. Overlapping spans are replaced as one, by what stands for the first.
-    """
-    found = spans(docs, **settings)
-
-    def marked(kind: str, by: Callable[[Column], Column]) -> Column:
-        return F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), by(s).alias("by")))
-
-    base = (marked(k, lambda s, name=f"[{k.upper()}]": F.lit(name)) for k in KINDS)
-    terms = marked("term", lambda s: F.when(s["value"] == "remove", "").otherwise("[TERM]"))
-    marks = found.select("doc_id", F.array_sort(F.concat(*base, terms)).alias("__marks"))
-    text = F.coalesce("text", F.lit(""))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(a: Column, m: Column) -> Column:
-        cut = F.concat(a["out"], F.substring(text, a["at"] + 1, m["start"] - a["at"]), m["by"])
-        return F.when(
-            m["start"] < a["at"], F.struct(F.greatest(a["at"], m["end"]).alias("at"), a["out"].alias("out"))
-        ).otherwise(F.struct(m["end"].alias("at"), cut.alias("out")))
-
-    return docs.select("doc_id", "text").join(marks, "doc_id").select("doc_id", F.aggregate(
-        "__marks", start, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text)))
-    ).alias("text"))
+    """doc_id and the sanitised text of every row, rows without an id and repeated ones included; a null text is empty."""
+    found = spans(docs, whole=True, **settings)
+    return found.select("doc_id", _clean(found).alias("text"))
 
 
 def op4_pii_sanitise(spark, sf_dir: str) -> DataFrame:
