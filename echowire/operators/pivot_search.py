@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,9 @@ from echowire.functions.numbers import pair_product, pair_sum
 from echowire.functions.vectors import lengths_of, matrix_of
 from echowire.operators.implied import members_of
 from echowire.operators.ratings import HIGH_SIMILARITY
-from echowire.operators.similarity import BLOCK_BYTES, MATCHES, article_pairs, block_matches, classed, vector_classes
+from echowire.operators.similarity import (
+    BEST, BLOCK_BYTES, MATCHES, article_pairs, block_best, block_join, block_matches, classed, vector_classes, with_selves,
+)
 from echowire.operators.skew import attach
 from echowire.session import stored
 
@@ -82,13 +84,16 @@ def _cells(pivots: dict[int, np.ndarray]) -> dict[int, int]:
     return dict(zip(pivots, starts))
 
 
-_PLACED = "id bigint, load bigint, vector array<float>, cell int"
+def _plain(classes: DataFrame) -> DataFrame:
+    """Classes with id, load and vector in front and their other columns behind."""
+    rest = [c for c in classes.columns if c not in ("id", "load", "vector")]
+    return classes.select("id", F.col("load").cast("bigint").alias("load"), "vector", *rest)
 
 
 def _placed(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
     """Approved classes with usable vectors and their cells."""
-    kind = classes.schema["vector"].dataType.simpleString()
-    schema = StructType.fromDDL(_PLACED.replace("array<float>", kind))
+    classes = _plain(classes)
+    schema = StructType([*classes.schema.fields, *StructType.fromDDL("cell int").fields])
     arrow, first = to_arrow_schema(schema), _cells(pivots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +105,7 @@ def _placed(classes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                 held = batch.take(pa.array(rows))
                 yield pa.RecordBatch.from_arrays([*held.columns, pa.array(cell, pa.int32())], schema=arrow)
 
-    return classes.select("id", F.col("load").cast("bigint").alias("load"), "vector").mapInArrow(run, schema)
+    return classes.mapInArrow(run, schema)
 
 
 def _ranges(placed: DataFrame, pivots: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -138,9 +143,9 @@ def _routed(
     classes: DataFrame, pivots: dict[int, np.ndarray], ranges: dict, sizes: dict[int, int], blocks: dict[int, int], threshold: float
 ) -> DataFrame:
     """New classes with usable vectors, the cells and blocks they are sent to, and how many approved classes these hold."""
-    kind = classes.schema["vector"].dataType.simpleString()
-    schema = StructType.fromDDL(
-        f"id bigint, load bigint, vector {kind}, targets array<struct<cell: int, approvedBlock: int>>, compared bigint")
+    classes = _plain(classes)
+    more = StructType.fromDDL("targets array<struct<cell: int, approvedBlock: int>>, compared bigint")
+    schema = StructType([*classes.schema.fields, *more.fields])
     arrow, first = to_arrow_schema(schema), _cells(pivots)
     limit = math.acos(max(-1.0, min(1.0, threshold))) + SLACK
 
@@ -163,7 +168,7 @@ def _routed(
                 yield pa.RecordBatch.from_arrays(
                     [*held.columns, pa.array(targets, arrow.field("targets").type), pa.array(compared, pa.int64())], schema=arrow)
 
-    return classes.select("id", F.col("load").cast("bigint").alias("load"), "vector").mapInArrow(run, schema)
+    return classes.mapInArrow(run, schema)
 
 
 def _search(new: DataFrame, approved: DataFrame, threshold: float, pivots: int, block_rows: int | None) -> tuple[DataFrame, DataFrame]:
@@ -184,19 +189,21 @@ def _by_cell(numbers: dict[int, int]) -> Column:
     return F.create_map(*(F.lit(x) for pair in numbers.items() for x in pair)).cast("map<int,int>")[F.col("cell")]
 
 
-def _matches(new: DataFrame, approved: DataFrame, threshold: float, pivots: int, block_rows: int | None) -> DataFrame:
-    """Pairs of classes above the threshold."""
+def _matches(
+    new: DataFrame, approved: DataFrame, threshold: float, pivots: int, block_rows: int | None, prepare: Callable, schema: str
+) -> DataFrame:
+    """`block_join` by `prepare` of the blocks that may hold pairs of classes above the threshold."""
     routed, placed = _search(new, approved, threshold, pivots, block_rows)
-    sent = routed.select("id", "load", "vector", F.explode("targets").alias("to")).select("id", "load", "vector", "to.*")
-    # All blocks of a cell get the same new classes, which are cut too, so no task holds more than a block of each side.
+    held = [c for c in routed.columns if c not in ("targets", "compared")]
+    sent = routed.select(*held, F.explode("targets").alias("to")).select(*held, "to.*")
+    # All blocks of a cell get the same new classes, which are cut too, so that more tasks can share a cell.
     most = block_rows or max(1, BLOCK_BYTES // (8 * max(1, routed.agg(F.max(F.size("vector"))).first()[0] or 1)))
     counts = sent.where("approvedBlock = 0").groupBy("cell").count().collect()
     cuts = _by_cell({r["cell"]: math.ceil(r["count"] / most) for r in counts})
     keys = ["cell", "approvedBlock", "newBlock"]
     left = sent.withColumn("newBlock", F.pmod(F.xxhash64("id"), cuts).cast("int"))
     right = placed.where(cuts.isNotNull()).withColumn("newBlock", F.explode(F.sequence(F.lit(0), cuts - 1)))
-    cogrouped = left.groupBy(*keys).cogroup(right.groupBy(*keys))
-    return cogrouped.applyInArrow(block_matches(threshold), MATCHES)
+    return block_join(left, right, keys, prepare, schema)
 
 
 def pivot_pairs(
@@ -205,7 +212,8 @@ def pivot_pairs(
     """The rows of `similar_pairs`, by the search described above; the threshold must not be negative."""
     members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
     new, approved = (stored(c, "vector-classes") for c in vector_classes(members))
-    return article_pairs(_matches(new, approved, threshold, pivots, block_rows), members, new, approved)
+    new = with_selves(members, new, approved)
+    return article_pairs(_matches(new, approved, threshold, pivots, block_rows, block_matches(threshold), MATCHES))
 
 
 def high_report(
@@ -217,10 +225,10 @@ def high_report(
     """
     members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
     new, approved = (stored(c, "vector-classes") for c in vector_classes(members))
-    sizes = approved.select(F.col("id").alias("approvedClass"), F.col("load").cast("bigint").alias("approvedLoad"), "articles")
-    found = _matches(new, approved, threshold, pivots, block_rows).join(sizes, ["approvedClass", "approvedLoad"])
+    # sums of each block, so that no list of matches is made
+    found = _matches(new, approved, threshold, pivots, block_rows, block_best(threshold), BEST)
     figures = found.groupBy(F.col("newClass").alias("classId"), "newLoad").agg(
-        F.sum("articles").alias("high"),
+        F.sum("high").alias("high"),
         F.max(F.struct(F.round("similarity", 12).alias("rank"), (-F.col("approvedClass")).alias("minusId"), "similarity")).alias("top"),
     )
     of_class = classed(members, new, "newLoad").select("articleId", "classId", F.col("newLoad").cast("bigint").alias("newLoad"))

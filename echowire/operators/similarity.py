@@ -6,13 +6,16 @@ returns one row of sums per new article and writes no pair; the list of similar
 vectors as one class, so its size is that of the matches between different vectors. Blocks are cut by
 a hash of the id, so neither copies of a vector nor a crowded region of space make one larger. Their
 number follows from the bytes of the vectors, and is at least such that all task slots have work.
+
+A task holds one block of approved vectors. New vectors pass it as a stream, and what they give is sent on piece by
+piece, so memory depends neither on the number of matches nor on how many vectors the other side has.
 """
 
 from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 64 << 20  # of vectors as doubles; each is sent once per block of the other side
 LEAST_ROWS = 128  # of a block, however many task slots there are
-_CELLS = 1 << 22  # scores held at once inside a task
+_CELLS = 1 << 21  # scores, and so matches, held at once inside a task
 
 _SUMS = (
     "articleId bigint, compared bigint, failed bigint, high bigint, total double, "
@@ -62,68 +65,105 @@ def _unit_vectors(table: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _block_sums(threshold: float, exclude_self: bool):
-    def sums(new: pa.Table, approved: pa.Table) -> pa.Table:
+    def prepare(approved: pa.Table):
         approved = approved.sort_by("id")  # the first of equal scores has the lowest id
-        new_ids, new_loads = _ints(new, "id"), _ints(new, "load")
         approved_ids, approved_loads = _ints(approved, "id"), _ints(approved, "load")
-        count = len(new_ids)
-        compared = np.searchsorted(np.sort(approved_loads), new_loads, side="right")
-        if exclude_self and len(approved_ids):
-            at = np.minimum(np.searchsorted(approved_ids, new_ids), len(approved_ids) - 1)
-            compared = compared - ((approved_ids[at] == new_ids) & (approved_loads[at] <= new_loads))
-        scored, high, total = np.zeros(count, np.int64), np.zeros(count, np.int64), np.zeros(count)
-        best, best_id = np.full(count, -1.0), np.zeros(count, np.int64)
-
+        sorted_loads = np.sort(approved_loads)
         targets = _unit_vectors(approved)
-        for dimension, (rows, matrix) in _unit_vectors(new).items():
-            if dimension not in targets:
+
+        def sums(new: pa.Table) -> Iterator[pa.Table]:
+            new_ids, new_loads = _ints(new, "id"), _ints(new, "load")
+            count = len(new_ids)
+            compared = np.searchsorted(sorted_loads, new_loads, side="right")
+            if exclude_self and len(approved_ids):
+                at = np.minimum(np.searchsorted(approved_ids, new_ids), len(approved_ids) - 1)
+                compared = compared - ((approved_ids[at] == new_ids) & (approved_loads[at] <= new_loads))
+            scored, high, total = np.zeros(count, np.int64), np.zeros(count, np.int64), np.zeros(count)
+            best, best_id = np.full(count, -1.0), np.zeros(count, np.int64)
+
+            for dimension, (rows, matrix) in _unit_vectors(new).items():
+                if dimension not in targets:
+                    continue
+                columns, others = targets[dimension]
+                ids, loads = approved_ids[columns], approved_loads[columns]
+                step = max(1, _CELLS // max(1, len(columns)))
+                for start in range(0, len(rows), step):
+                    part = rows[start : start + step]
+                    with np.errstate(invalid="ignore"):
+                        scores = matrix[start : start + step] @ others.T
+                        scores = np.where(scores > 0, scores, 0.0)
+                    paired = loads[None, :] <= new_loads[part, None]
+                    if exclude_self:
+                        paired &= ids[None, :] != new_ids[part, None]
+                    scores = np.where(paired, scores, -1.0)
+                    scored[part] = paired.sum(axis=1)
+                    high[part] = (scores > threshold).sum(axis=1)
+                    total[part] = np.where(paired, scores, 0.0).sum(axis=1)
+                    if len(columns):
+                        # copies of one vector differ in the last bits only; they shall tie
+                        top = np.round(scores, 12).argmax(axis=1)
+                        best[part] = scores[np.arange(len(part)), top]
+                        best_id[part] = ids[top]
+            none = best < 0
+            yield pa.table({
+                "articleId": pa.array(new_ids, pa.int64()),
+                "compared": pa.array(compared, pa.int64()),
+                "failed": pa.array(compared - scored, pa.int64()),
+                "high": pa.array(high, pa.int64()),
+                "total": pa.array(total, pa.float64()),
+                "best": pa.array(best, pa.float64(), mask=none),
+                "bestId": pa.array(best_id, pa.int64(), mask=none),
+            })
+
+        return sums
+
+    return prepare
+
+
+def block_join(new: DataFrame, approved: DataFrame, keys: list[str], prepare: Callable, schema: str) -> DataFrame:
+    """The results of all groups of two tables with equal `keys`, whose other columns have the same types.
+
+    `prepare` gets the approved rows of a group, which must be of bounded size, and returns a function that
+    yields tables for any part of its new rows. The new rows are never held together.
+    """
+    sides = approved.withColumn("__new", F.lit(False)).unionByName(new.withColumn("__new", F.lit(True)), allowMissingColumns=True)
+    rows = sides.repartition(*keys).sortWithinPartitions(*keys, "__new")
+    marks = [*keys, "__new"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, compare = None, [], None
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            columns, others = targets[dimension]
-            ids, loads = approved_ids[columns], approved_loads[columns]
-            step = max(1, _CELLS // max(1, len(columns)))
-            for start in range(0, len(rows), step):
-                part = rows[start : start + step]
-                with np.errstate(invalid="ignore"):
-                    scores = matrix[start : start + step] @ others.T
-                    scores = np.where(scores > 0, scores, 0.0)
-                paired = loads[None, :] <= new_loads[part, None]
-                if exclude_self:
-                    paired &= ids[None, :] != new_ids[part, None]
-                scores = np.where(paired, scores, -1.0)
-                scored[part] = paired.sum(axis=1)
-                high[part] = (scores > threshold).sum(axis=1)
-                total[part] = np.where(paired, scores, 0.0).sum(axis=1)
-                if len(columns):
-                    # copies of one vector differ in the last bits only; they shall tie
-                    top = np.round(scores, 12).argmax(axis=1)
-                    best[part] = scores[np.arange(len(part)), top]
-                    best_id[part] = ids[top]
-        none = best < 0
-        return pa.table({
-            "articleId": pa.array(new_ids, pa.int64()),
-            "compared": pa.array(compared, pa.int64()),
-            "failed": pa.array(compared - scored, pa.int64()),
-            "high": pa.array(high, pa.int64()),
-            "total": pa.array(total, pa.float64()),
-            "best": pa.array(best, pa.float64(), mask=none),
-            "bestId": pa.array(best_id, pa.int64(), mask=none),
-        })
-
-    return sums
-
-
-def _blockwise(new: DataFrame, approved: DataFrame, blocks: tuple[int, int], compare: Callable, schema: str) -> DataFrame:
-    """`compare` on every pair of blocks of two tables of id, load and vector."""
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in marks]
+            ends = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+            for start, end in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows]):
+                part = batch.slice(start, end - start)
+                if (mark := tuple(c[start] for c in columns[:-1])) != group:
+                    group, held, compare = mark, [], None
+                if not columns[-1][start]:
+                    held.append(part)
+                    continue
+                if compare is None:
+                    compare, held = prepare(pa.Table.from_batches(held, schema=batch.schema)), []
+                for found in compare(pa.Table.from_batches([part])):
+                    yield from found.to_batches()
+
+    return rows.mapInArrow(run, schema)
+
+
+def _blockwise(new: DataFrame, approved: DataFrame, blocks: tuple[int, int], prepare: Callable, schema: str) -> DataFrame:
+    """`prepare` on every pair of blocks of two tables of id, load, vector and further columns."""
     keys = ["newBlock", "approvedBlock"]
 
     def cut(rows: DataFrame, own: int) -> DataFrame:
         return rows.select(
-            "id", "load", "vector",
+            "*",
             F.pmod(F.xxhash64("id"), F.lit(blocks[own])).cast("int").alias(keys[own]),
             F.explode(F.sequence(F.lit(0), F.lit(blocks[1 - own] - 1))).alias(keys[1 - own]),
         )
 
-    return cut(new, 0).groupBy(*keys).cogroup(cut(approved, 1).groupBy(*keys)).applyInArrow(compare, schema)
+    return block_join(cut(new, 0), cut(approved, 1), keys, prepare, schema)
 
 
 def _block_counts(members: DataFrame, block_rows: int | None) -> tuple[int, int]:
@@ -173,36 +213,80 @@ def similarity_report(
     )
 
 
-MATCHES = "newClass bigint, newLoad bigint, approvedClass bigint, approvedLoad bigint, similarity double"
+MATCHES = (
+    "newClass bigint, newLoad bigint, approvedClass bigint, approvedLoad bigint, similarity double, "
+    "newArticles bigint, approvedArticles bigint, selves bigint"
+)
+BEST = "newClass bigint, newLoad bigint, high bigint, similarity double, approvedClass bigint"
+
+
+def _above(new: pa.Table, loads: np.ndarray, targets: dict, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row numbers of new and approved classes that score above the threshold, by new row, and their scores."""
+    new_loads = _ints(new, "load")
+    for dimension, (rows, matrix) in _unit_vectors(new).items():
+        if dimension not in targets:
+            continue
+        columns, others = targets[dimension]
+        step = max(1, _CELLS // max(1, len(columns)))
+        for start in range(0, len(rows), step):
+            part = rows[start : start + step]
+            with np.errstate(invalid="ignore"):
+                scores = matrix[start : start + step] @ others.T
+                high = (scores > threshold) & (loads[columns][None, :] <= new_loads[part, None])
+            i, j = np.nonzero(high)
+            if len(i):
+                yield part[i], columns[j], scores[i, j]
 
 
 def block_matches(threshold: float):
-    """A function that compares a block of new with a block of approved classes."""
-    def matches(new: pa.Table, approved: pa.Table) -> pa.Table:
-        new_ids, new_loads = _ints(new, "id"), _ints(new, "load")
-        approved_ids, approved_loads = _ints(approved, "id"), _ints(approved, "load")
-        found = ([], [], [], [], [])
+    """For `block_join`: all matches of new with approved classes, as MATCHES."""
+    names = [field.split()[0] for field in MATCHES.split(", ")]
+
+    def prepare(approved: pa.Table):
+        approved_ids, approved_loads, approved_articles = (_ints(approved, c) for c in ("id", "load", "articles"))
         targets = _unit_vectors(approved)
-        for dimension, (rows, matrix) in _unit_vectors(new).items():
-            if dimension not in targets:
-                continue
-            columns, others = targets[dimension]
-            step = max(1, _CELLS // max(1, len(columns)))
-            for start in range(0, len(rows), step):
-                part = rows[start : start + step]
-                with np.errstate(invalid="ignore"):
-                    scores = matrix[start : start + step] @ others.T
-                    high = (scores > threshold) & (approved_loads[columns][None, :] <= new_loads[part, None])
-                i, j = np.nonzero(high)
-                i_, j_ = part[i], columns[j]
-                values = (new_ids[i_], new_loads[i_], approved_ids[j_], approved_loads[j_], scores[i, j])
-                for held, more in zip(found, values):
-                    held.append(more)
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
-        columns = [pa.array(np.concatenate(x) if x else [], kind) for x, kind in zip(found, kinds)]
-        return pa.table(columns, names=["newClass", "newLoad", "approvedClass", "approvedLoad", "similarity"])
-
-    return matches
+
+        def matches(new: pa.Table) -> Iterator[pa.Table]:
+            new_ids, new_loads, new_articles = (_ints(new, c) for c in ("id", "load", "articles"))
+            own = [
+                {(x["approvedClass"], x["approvedLoad"]): x["selves"] for x in row or ()} for row in new.column("own").to_pylist()
+            ]
+            for i, j, scores in _above(new, approved_loads, targets, threshold):
+                ids, loads = approved_ids[j], approved_loads[j]
+                selves = np.zeros(len(i), np.int64)
+                mine = {k for row in np.unique(i).tolist() for k, _ in own[row]}
+                for at in np.flatnonzero(np.isin(ids, np.fromiter(mine, np.int64, len(mine)))).tolist():
+                    selves[at] = own[i[at]].get((int(ids[at]), int(loads[at])), 0)
+                columns = (new_ids[i], new_loads[i], ids, loads, scores, new_articles[i], approved_articles[j], selves)
+                yield pa.table([pa.array(c, pa.float64() if c is scores else pa.int64()) for c in columns], names=names)
+
+        return matches
+
+    return prepare
+
+
+def block_best(threshold: float):
+    """For `block_join`: of each new class with matches the number of matching articles and the best match, as BEST."""
+    names = [field.split()[0] for field in BEST.split(", ")]
+
+    def prepare(approved: pa.Table):
+        approved_ids, approved_loads, approved_articles = (_ints(approved, c) for c in ("id", "load", "articles"))
+        targets = _unit_vectors(approved)
+
+        def best(new: pa.Table) -> Iterator[pa.Table]:
+            new_ids, new_loads = _ints(new, "id"), _ints(new, "load")
+            for i, j, scores in _above(new, approved_loads, targets, threshold):
+                starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+                high = np.add.reduceat(approved_articles[j], starts)
+                # copies of one vector differ in the last bits only; they shall tie
+                top = np.lexsort((approved_ids[j], -np.round(scores, 12), i))[starts]
+                columns = (new_ids[i[starts]], new_loads[i[starts]], high, scores[top], approved_ids[j][top])
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64())
+                yield pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
+
+        return best
+
+    return prepare
 
 
 def vector_classes(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -245,27 +329,26 @@ def similar_pairs(
     """
     members = stored(members_of(roster, vectors.select("articleId", "embedding")), "members")
     new, approved = (stored(c, "vector-classes") for c in vector_classes(members))
-    found = _blockwise(new, approved, _block_counts(members, block_rows), block_matches(threshold), MATCHES)
-    return article_pairs(found, members, new, approved)
+    new = with_selves(members, new, approved)
+    return article_pairs(_blockwise(new, approved, _block_counts(members, block_rows), block_matches(threshold), MATCHES))
 
 
-def article_pairs(found: DataFrame, members: DataFrame, new: DataFrame, approved: DataFrame) -> DataFrame:
-    """Matches of classes with the number of article pairs that each stands for, an article and itself left out."""
+def with_selves(members: DataFrame, new: DataFrame, approved: DataFrame) -> DataFrame:
+    """New classes with the column `own`, stored: their approved classes of the same vector, and how many articles are in both."""
     # a class holds copies of one vector, so articles in both roles are paired with themselves
     both = members.where("newLoad IS NOT NULL AND approvedLoad <= newLoad AND embedding IS NOT NULL")
-    both = both.groupBy(F.col("embedding").alias("vector"), "newLoad", "approvedLoad").agg(F.count("*").alias("selves"))
-    for classes, load, name in ((new, "newLoad", "newClass"), (approved, "approvedLoad", "approvedClass")):
-        both = both.join(classes.select("vector", F.col("load").alias(load), F.col("id").alias(name)), ["vector", load])
-    both = both.drop("vector")
-    for classes, load, name, size in (
-        (new, "newLoad", "newClass", "newArticles"), (approved, "approvedLoad", "approvedClass", "approvedArticles")
-    ):
-        found = found.join(
-            classes.select(F.col("id").alias(name), F.col("load").alias(load), F.col("articles").alias(size)), [name, load])
-    keys = ["newClass", "newLoad", "approvedClass", "approvedLoad"]
-    pairs = pair_product(F.col("newArticles"), F.col("approvedArticles")) - F.coalesce("selves", F.lit(0))
-    counted = found.join(both, keys, "left").withColumn("pairs", pairs.cast("decimal(38,0)"))
-    return counted.where("pairs > 0").select(*keys, "similarity", "pairs")
+    both = both.groupBy(F.col("embedding").alias("vector"), F.col("newLoad").alias("load"), "approvedLoad").agg(F.count("*").alias("selves"))
+    named = approved.select("vector", F.col("load").alias("approvedLoad"), F.col("id").alias("approvedClass"))
+    entry = F.struct(*(F.col(c).cast("bigint").alias(c) for c in ("approvedClass", "approvedLoad", "selves")))
+    own = both.join(named, ["vector", "approvedLoad"]).groupBy("vector", "load").agg(F.collect_list(entry).alias("own"))
+    return stored(new.join(own, ["vector", "load"], "left"), "new-classes")
+
+
+def article_pairs(found: DataFrame) -> DataFrame:
+    """Matches of classes with the number of article pairs that each stands for, an article and itself left out."""
+    pairs = pair_product(F.col("newArticles"), F.col("approvedArticles")) - F.col("selves")
+    counted = found.withColumn("pairs", pairs.cast("decimal(38,0)"))
+    return counted.where("pairs > 0").select("newClass", "newLoad", "approvedClass", "approvedLoad", "similarity", "pairs")
 
 
 def similarity_progress(roster: DataFrame, report: DataFrame) -> DataFrame:

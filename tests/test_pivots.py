@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from echowire.operators import similarity
 from echowire.operators.pivot_search import choose_pivots, high_report, pivot_pairs, pivot_shares
 from echowire.operators.similarity import class_members, similar_pairs, similarity_report, vector_classes
 
@@ -82,3 +84,43 @@ def test_empty_and_negative(spark):
     assert pivot_pairs(roster, vectors).count() == 0 and pivot_shares(roster, vectors).first().share_left_out == 0.0
     with pytest.raises(ValueError):
         pivot_pairs(roster, vectors, -0.1)
+
+
+def block(n, own):
+    rng = np.random.default_rng(5)
+    return pa.table({
+        "id": pa.array(range(n)), "load": pa.array([1] * n), "articles": pa.array([2] * n),
+        "vector": pa.array((rng.random((n, 4)) + 5).tolist(), pa.list_(pa.float32())),
+        "own": pa.array([[{"approvedClass": i, "approvedLoad": 1, "selves": 2}] if own else None for i in range(n)],
+                        pa.list_(pa.struct([(c, pa.int64()) for c in ("approvedClass", "approvedLoad", "selves")]))),
+    })
+
+
+def test_matches_of_a_block_leave_in_parts(monkeypatch):
+    """Each of a million pairs matches; no more than the scores held at once are held as matches."""
+    monkeypatch.setattr(similarity, "_CELLS", 1 << 15)
+    parts = [t.num_rows for t in similarity.block_matches(0.5)(block(1000, False))(block(1000, True))]
+    assert sum(parts) == 1_000_000 and max(parts) <= 1 << 15
+    some = similarity.block_matches(0.5)(block(1000, False))(block(1000, True).slice(3, 1))
+    assert [i for t in some for i, n in enumerate(t["selves"].to_pylist()) if n] == [3]
+
+
+def test_high_counts_leave_a_block_as_one_row_of_a_class(monkeypatch):
+    monkeypatch.setattr(similarity, "_CELLS", 1 << 15)
+    parts = list(similarity.block_best(0.5)(block(1000, False))(block(1000, False)))
+    assert sum(t.num_rows for t in parts) == 1000
+    assert {(r["newClass"], r["high"], r["approvedClass"]) for t in parts for r in t.to_pylist()} == {(i, 2000, i) for i in range(1000)}
+
+
+def test_blocks_longer_than_a_batch(spark):
+    roster, vectors = frames(spark, groups(4) + ODD)
+    expected = rows(similar_pairs(roster, vectors, 0.8))
+    full = {tuple(r) for r in similarity_report(roster, vectors, 0.8, True).drop("total", "best").collect()}
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        assert rows(similar_pairs(roster, vectors, 0.8, 50)) == rows(pivot_pairs(roster, vectors, 0.8, 5, 50)) == expected
+        assert {tuple(r) for r in similarity_report(roster, vectors, 0.8, True, 50).drop("total", "best").collect()} == full
+    finally:
+        spark.conf.set(key, before)
