@@ -6,7 +6,6 @@ import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 
 Encoder = Callable[[Sequence[str]], np.ndarray]
 
+#: Bytes of texts that an encoder gets at once.
+PIECE_BYTES = 4 << 20
 
 # Task functions travel with their helpers, so executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -65,17 +66,37 @@ def cosine_score(vector_1: Column, vector_2: Column) -> Column:
     return cosines(vector_1, vector_2)
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive parts of about PIECE_BYTES of UTF-8; a longer text is a part of its own."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + PIECE_BYTES, side="right")))
+        yield texts.slice(start, end - start)
+        start = end
+
+
 def encoded(text: Column, load_encoder: Callable[[], Encoder], dimension: int) -> Column:
-    """Vectors from a user-supplied encoder, loaded once per task; zeros for empty text."""
+    """Vectors from a user-supplied encoder, loaded once per task; zeros for empty text.
+
+    The encoder gets the texts of an Arrow batch in parts of bounded size, so however long texts are, no more than one
+    part of them is held as Python strings.
+    """
 
-    @F.pandas_udf("array<float>")
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = load_encoder()
         for texts in batches:
             vectors = np.zeros((len(texts), dimension), dtype=np.float32)
-            filled = (texts.fillna("") != "").to_numpy()
-            if filled.any():
-                vectors[filled] = encoder(texts[filled].tolist())
-            yield pd.Series(list(vectors))
+            start = 0
+            for part in _slices(texts):
+                filled = pc.fill_null(pc.not_equal(part, ""), False)
+                rows = start + np.flatnonzero(filled.to_numpy(zero_copy_only=False))
+                if len(rows):
+                    vectors[rows] = encoder(part.filter(filled).to_pylist())
+                start += len(part)
+            ends = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * dimension)
+            yield pa.ListArray.from_arrays(ends, pa.array(vectors.ravel()))
 
     return encode(text)

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from echowire.session import small_batches
+
 #: Rows that a task hands to a row function at once, so that a batch of long texts stays small in memory.
 SLICE_ROWS = 512
-#: Rows that Spark sends to a Python worker at once, for the same reason.
-BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,13 +29,6 @@ def texts(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lower the session's Arrow batches to BATCH_ROWS rows; a lower setting stays."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
-
-
 def map_rows(df: DataFrame, schema: StructType | str, make: Callable[[], Callable[[pa.RecordBatch], list]]) -> DataFrame:
     """Arrow batches through a function that returns one list of values per output column.
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from echowire.functions.texts import combine_text, content_hash
 from echowire.functions.urls import with_canonical_url
 from echowire.functions.vectors import Encoder, encoded
+from echowire.session import small_batches
 
 
 def url_features(articles: DataFrame) -> DataFrame:
@@ -75,6 +76,7 @@ def encode_articles(
     Texts are encoded where they are read, superseded approvals included, and one approval per
     article is picked afterwards: vectors of a fixed width are shuffled, texts never.
     """
+    small_batches(approved.sparkSession)
     texts = _counted(approved).select("articleId", "id", combine_text("headline", "text").alias("text"))
     vectors = texts.select("articleId", "id", encoded(F.col("text"), load_encoder, dimension).alias("embedding"))
     return vectors.groupBy("articleId").agg(F.min_by("embedding", "id").alias("embedding"))

@@ -81,6 +81,17 @@ def _remove_all() -> None:
             remove_scratch(spark, path)
 
 
+#: Rows that Spark sends to a Python worker at once, so that a batch of long texts stays small in memory.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS rows; a lower setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` written once below the shared folder and read back: it cuts the lineage and survives lost executors."""
     spark = df.sparkSession

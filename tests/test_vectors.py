@@ -68,3 +68,22 @@ def test_similar_pairs_hold_copies_as_classes(spark):
             exists = n != a and loads[n][0] is not None and loads[a][1] is not None and loads[a][1] <= loads[n][0]
             if min(n, a) >= 3000 and abs(cosine - 0.5) > 1e-9 and v != base[0] and w != base[0]:
                 assert ((n, a) in listed) == (exists and cosine > 0.5)
+
+
+def test_encoder_gets_bounded_parts(spark, monkeypatch):
+    """Long texts reach the encoder in parts of bounded size, in order; null and empty texts never do."""
+    from echowire.functions import vectors
+
+    monkeypatch.setattr(vectors, "PIECE_BYTES", 1000)
+    texts = ["é" * 30 * (i % 7) for i in range(100)] + [None, "x" * 5000, "", "é" * 500, "y"]
+
+    def load_encoder():
+        def encode(part):
+            assert all(part) and (len(part) == 1 or sum(len(t.encode()) for t in part) <= 1000)
+            return np.array([[len(t), t.count("y")] for t in part])
+
+        return encode
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string").coalesce(1)
+    got = df.select("i", vectors.encoded(F.col("t"), load_encoder, 2).alias("v")).collect()
+    assert {r.i: r.v for r in got} == {i: [float(len(t or "")), float((t or "").count("y"))] for i, t in enumerate(texts)}
