@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -248,15 +249,19 @@ def block_matches(threshold: float):
 
         def matches(new: pa.Table) -> Iterator[pa.Table]:
             new_ids, new_loads, new_articles = (_ints(new, c) for c in ("id", "load", "articles"))
-            own = [
-                {(x["approvedClass"], x["approvedLoad"]): x["selves"] for x in row or ()} for row in new.column("own").to_pylist()
-            ]
+            entries = pc.list_flatten(new["own"]).combine_chunks()
+            own_ids, own_loads, own_selves = (
+                pc.struct_field(entries, c).to_numpy(zero_copy_only=False) for c in ("approvedClass", "approvedLoad", "selves"))
+            own = pc.fill_null(pc.list_value_length(new["own"]), 0).to_numpy()
+            first = np.cumsum(own) - own
             for i, j, scores in _above(new, approved_loads, targets, threshold):
                 ids, loads = approved_ids[j], approved_loads[j]
                 selves = np.zeros(len(i), np.int64)
-                mine = {k for row in np.unique(i).tolist() for k, _ in own[row]}
-                for at in np.flatnonzero(np.isin(ids, np.fromiter(mine, np.int64, len(mine)))).tolist():
-                    selves[at] = own[i[at]].get((int(ids[at]), int(loads[at])), 0)
+                for k in range(int(own[i].max())):
+                    some = np.flatnonzero(own[i] > k)
+                    at = first[i[some]] + k
+                    same = (own_ids[at] == ids[some]) & (own_loads[at] == loads[some])
+                    selves[some[same]] = own_selves[at[same]]
                 columns = (new_ids[i], new_loads[i], ids, loads, scores, new_articles[i], approved_articles[j], selves)
                 yield pa.table([pa.array(c, pa.float64() if c is scores else pa.int64()) for c in columns], names=names)
 
