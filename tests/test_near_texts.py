@@ -1,5 +1,7 @@
+import os
 import random
 import re
+from urllib.parse import urlparse
 
 import pytest
 
@@ -120,3 +122,31 @@ def test_report(spark):
 def test_percent_is_checked(spark):
     with pytest.raises(ValueError):
         near_texts.near_class_pairs(approvals(spark, []), 0)
+
+
+def test_small_parts_lose_nothing(spark, monkeypatch):
+    """Groups that end in any place of a batch, pairs dropped when repeated, and sets looked up in small parts."""
+    for name, value in {"BLOCK_BITS": 2, "SET_BYTES": 900, "PREFIX_ROWS": 16, "HELD_PAIRS": 24, "GROUP_PAIRS": 9, "LOOKUPS": 60}.items():
+        monkeypatch.setattr(near_texts, name, value)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    rows = texts(5, groups=4, copies=20)
+    try:
+        assert found(spark, rows) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_shingles_of_one_text_are_not_written(spark, monkeypatch):
+    """What is written between the steps is less than the hashes of all shingles, of which nearly none are shared."""
+    written, whole = [], near_texts.stored
+
+    def measured(df, name):
+        made = whole(df, name)
+        written.extend(os.path.getsize(urlparse(f).path) for f in made.inputFiles())
+        return made
+
+    monkeypatch.setattr(near_texts, "stored", measured)
+    rows = [(i, i, None, " ".join(f"word{i}x{j}" for j in range(3000))) for i in range(20)]
+    rows.append((20, 20, None, rows[0][3] + " end"))
+    assert found(spark, rows) == brute(rows)
+    assert 0 < sum(written) < 8 * 20 * 3000
